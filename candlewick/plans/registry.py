@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from candlewick.plans import queries_indicators  # noqa: F401
+from candlewick.plans import queries_bars, queries_indicators, queries_watchlist  # noqa: F401
 from candlewick.plans.catalog import ENTRIES
 
 __all__ = ["ENTRIES"]
