@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from candlewick.plans import queries_bars, queries_indicators, queries_watchlist  # noqa: F401
+from candlewick.plans import (  # noqa: F401
+    queries_bars,
+    queries_indicators,
+    queries_quotes,
+    queries_reports,
+    queries_watchlist,
+)
 from candlewick.plans.catalog import ENTRIES
 
 __all__ = ["ENTRIES"]

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from candlewick.sources.snapshots import publish_snapshot, read_snapshot
 
@@ -31,35 +31,36 @@ def sink(stream: DataFrame, reduce: Reduce, root: str, checkpoint: str, seconds:
 
 
 def _partials(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """All partial folders with their `batch_id`."""
+    stored = StructType([*schema.fields, StructField("batch_id", LongType())])
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{root}/partials")
     if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], schema).withColumn("batch_id", F.lit(0).cast("bigint"))
-    table = spark.read.schema(schema.add("batch_id", "bigint") if "batch_id" not in schema.names else schema)
-    return table.parquet(f"{root}/partials")
+        return spark.createDataFrame([], stored)
+    return spark.read.schema(stored).parquet(f"{root}/partials")
 
 
-def read(spark: SparkSession, root: str, schema: StructType, merge: Reduce) -> DataFrame:
-    """Current state: the last folded snapshot and all later partials, merged."""
-    columns = [name for name in schema.names if name != "batch_id"]
-    recent = _partials(spark, root, StructType(list(schema.fields)))
+def _rows(spark: SparkSession, root: str, schema: StructType, upto: int | None = None) -> DataFrame:
+    """The last folded snapshot and the partials after it, up to a batch if given."""
+    recent = _partials(spark, root, schema)
+    if upto is not None:
+        recent = recent.filter(F.col("batch_id") <= upto)
     folded = read_snapshot(spark, f"{root}/folded")
     if folded is None:
-        return merge(recent.select(*columns))
-    last = folded.agg(F.max("batch_id")).scalar()
-    later = recent.filter(F.col("batch_id") > F.coalesce(last, F.lit(-1)))
-    return merge(folded.select(*columns).unionByName(later.select(*columns)))
+        return recent.drop("batch_id")
+    # The snapshot's own batch number is a partition value, so this reads one number from the file listing.
+    last = folded.agg(F.max("upto_batch")).scalar()
+    later = recent.filter(F.col("batch_id") > F.coalesce(last, F.lit(-1))).drop("batch_id")
+    return folded.drop("upto_batch").unionByName(later)
 
 
-def fold(spark: SparkSession, root: str, schema: StructType, merge: Reduce, upto: int) -> int:
-    """Publish the merged state of all batches up to `upto`; the folders it covers may then be removed."""
-    columns = [name for name in schema.names if name != "batch_id"]
-    recent = _partials(spark, root, StructType(list(schema.fields))).filter(F.col("batch_id") <= upto)
-    folded = read_snapshot(spark, f"{root}/folded")
-    rows = recent.select(*columns)
-    if folded is not None:
-        last = folded.agg(F.max("batch_id")).scalar()
-        fresh = recent.filter(F.col("batch_id") > F.coalesce(last, F.lit(-1))).select(*columns)
-        rows = folded.select(*columns).unionByName(fresh)
-    state = merge(rows).withColumn("batch_id", F.lit(upto).cast("bigint"))
-    return publish_snapshot(state, f"{root}/folded")
+def read(spark: SparkSession, root: str, schema: StructType, merge: Reduce) -> DataFrame:
+    """Current state: the last folded snapshot and all later partials, merged."""
+    return merge(_rows(spark, root, schema))
+
+
+def fold(spark: SparkSession, root: str, schema: StructType, merge: Reduce, upto: int) -> int | None:
+    """Publish the merged state of all batches up to `upto`; the partial folders it covers may then be removed.
+    Without any row there is nothing to publish."""
+    state = merge(_rows(spark, root, schema, upto)).withColumn("upto_batch", F.lit(upto).cast("bigint"))
+    return None if state.isEmpty() else publish_snapshot(state, f"{root}/folded", ["upto_batch"])
