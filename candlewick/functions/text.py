@@ -13,9 +13,9 @@ FLAT_COLOR = "#9e9ea6"
 
 
 def strength_text(value: Column) -> Column:
-    """Three decimals, `N/A` where the value is missing or zero."""
-    number = value.cast("double")
-    return F.when(truthy(number), F.format_string("%.3f", number)).otherwise("N/A")
+    """A DECIMAL(10,4) with three decimals, ties to the even digit; `N/A` where it is missing or zero."""
+    rounded = F.bround(value.cast("decimal(10,4)"), 3).cast("decimal(10,3)")
+    return F.when(truthy(value), rounded.cast("string")).otherwise("N/A")
 
 
 def alert_title(kind: Column, symbol: Column, price: Column, change_percent: Column) -> Column:

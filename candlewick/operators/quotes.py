@@ -7,6 +7,7 @@ messages still sends one row per key and input split. The same functions serve b
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from candlewick.functions.caps import cap_tier
 from candlewick.functions.numeric import round_half_up
@@ -27,12 +28,15 @@ UNIFIED_TOPIC = "stock-realtime-data"
 FALLBACK_SOURCE = "kis_via_yfinance"
 
 
-def parse_messages(messages: DataFrame, schema=QUOTE_MESSAGE) -> DataFrame:
-    """Envelope columns plus the parsed fields; unreadable text leaves the fields NULL and `readable` false."""
+def parse_messages(messages: DataFrame, schema: StructType = QUOTE_MESSAGE) -> DataFrame:
+    """Envelope columns plus the parsed fields; unreadable text leaves the fields NULL and `readable` false.
+
+    `inline` turns the parsed struct into columns once, so a filter on them cannot be pushed below the parse and
+    repeat it per field.
+    """
     parsed = F.from_json("value", schema, {"mode": "PERMISSIVE"})
-    return messages.select("topic", "event_time", "offset", parsed.alias("m")).select(
-        "topic", "event_time", "offset", F.col("m.symbol").isNotNull().alias("readable"), "m.*"
-    )
+    rows = messages.select("topic", "event_time", "offset", F.inline(F.array(parsed)))
+    return rows.withColumn("readable", F.col("symbol").isNotNull())
 
 
 def reconcile(parsed: DataFrame) -> DataFrame:
@@ -53,8 +57,16 @@ def usable(quotes: DataFrame) -> DataFrame:
     return quotes.filter((F.col("symbol") != "") & (F.col("price") != 0))
 
 
+# The message fields a quote is made of; the parser skips all others.
+QUOTE_FIELDS = (
+    "symbol", "price", "current_price", "change", "change_rate", "change_percent", "previous_close", "volume",
+    "source", "data_source",
+)
+
+
 def read_quotes(messages: DataFrame) -> DataFrame:
-    return usable(reconcile(parse_messages(messages)))
+    fields = StructType([QUOTE_MESSAGE[name] for name in QUOTE_FIELDS])
+    return usable(reconcile(parse_messages(messages, fields)))
 
 
 def _arrival() -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 # Longest frame evaluated directly. Spark re-reads a sliding frame for every row, so longer means add up
 # a few lagged sums of shorter frames instead.
-LONGEST_FRAME = 64
+LONGEST_FRAME = 60
 
 
 def by_symbol() -> WindowSpec:

@@ -68,12 +68,14 @@ def _smoothed(values: Column) -> Column:
     return F.aggregate(F.slice(values, 2, HISTORY + 1), start, step)
 
 
-def live_indicators(quotes: DataFrame, bars: DataFrame) -> DataFrame:
+def live_indicators(quotes: DataFrame, bars: DataFrame, few_quotes: bool = False) -> DataFrame:
     """Rounded indicators of each quote (one per symbol, column `price`) over its symbol's last 50 closes.
 
-    Symbols with fewer than 20 stored bars give no row. A price of 0 counts as no live price.
+    Symbols with fewer than 20 stored bars give no row. A price of 0 counts as no live price. `few_quotes` first
+    restricts the bars to the quoted symbols, which pays where the quotes are a small, stored batch.
     """
-    history = recent_closes(bars.join(quotes.select("symbol").distinct(), "symbol", "left_semi"))
+    wanted = bars.join(quotes.select("symbol"), "symbol", "left_semi") if few_quotes else bars
+    history = recent_closes(wanted)
     rows = quotes.join(history.filter(F.col("data_points") >= FEWEST_BARS), "symbol")
     price = F.when(truthy(F.col("price")), F.col("price"))
     rows = rows.withColumn("price", price).withColumn(
@@ -156,8 +158,8 @@ def score(indicators: DataFrame) -> DataFrame:
     )
 
 
-def quote_signals(quotes: DataFrame, bars: DataFrame) -> DataFrame:
-    return score(live_indicators(quotes, bars))
+def quote_signals(quotes: DataFrame, bars: DataFrame, few_quotes: bool = False) -> DataFrame:
+    return score(live_indicators(quotes, bars, few_quotes))
 
 
 def strong_signals(scored: DataFrame, threshold: int = 30) -> DataFrame:

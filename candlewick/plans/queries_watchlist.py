@@ -144,8 +144,9 @@ TIER_NAME = "CASE market_cap_tier WHEN 1 THEN '대형주' WHEN 2 THEN '중형주
 @register(
     "dashboard_rows", "symbol:s name:s sector:s market_cap:s tier_name:s condition_type:s signal_strength:s",
     f"""SELECT symbol, name, sector, market_cap, {TIER_NAME} AS tier_name, condition_type,
-               printf('%.3f', CAST(condition_value AS DOUBLE)) AS signal_strength
-        FROM watchlist JOIN symbols USING (symbol) WHERE date = DATE '{DAY}' AND market_cap_tier IN (1, 2)""",
+               printf('%.3f', (n // 10 + CASE WHEN n % 10 > 5 OR (n % 10 = 5 AND n // 10 % 2 = 1) THEN 1 ELSE 0 END) / 1e3)
+                 AS signal_strength
+        FROM (SELECT *, CAST(condition_value * 10000 AS BIGINT) AS n FROM watchlist) JOIN symbols USING (symbol) WHERE date = DATE '{DAY}' AND market_cap_tier IN (1, 2)""",
     "watchlist symbols",
 )
 def dashboard_rows(spark, folder):

@@ -6,7 +6,13 @@ halfway leaves only an unreferenced folder.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from candlewick.session import shared_dir
 
 
 def _file_system(spark: SparkSession, root: str):
@@ -57,17 +63,34 @@ def publish_snapshot(table: DataFrame, root: str, partition_by: list[str] | None
     return version
 
 
-def replace_days(table: DataFrame, root: str, column: str = "month") -> None:
-    """Write month partitions of a date table in place, leaving every other month untouched."""
+def write_months(table: DataFrame, root: str) -> None:
+    """Write a date table in month folders, replacing the months it holds and no others."""
     (
-        table.withColumn(column, F.date_format("date", "yyyy-MM"))
+        table.withColumn("month", F.date_format("date", "yyyy-MM"))
+        .repartition("month", "symbol")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
+        .partitionBy("month")
         .parquet(root)
     )
 
 
+def merge_months(incoming: DataFrame, root: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    """Merge rows into a month-foldered table, reading and rewriting only the months the rows fall in.
+
+    The merged months are first written to the shared folder, as the folders being replaced are also the ones
+    read; that copy also survives a driver lost while the folders are swapped.
+    """
+    spark = incoming.sparkSession
+    # A list of months: bounded by the calendar, twelve entries a year.
+    months = [row[0] for row in incoming.select(F.date_format("date", "yyyy-MM")).distinct().collect()]
+    stored = spark.read.schema(StructType([*incoming.schema.fields, StructField("month", StringType())])).parquet(root)
+    merged = merge(stored.filter(F.col("month").isin(months)).drop("month"), incoming)
+    staged = f"{shared_dir(spark)}/staged/{uuid.uuid4().hex}"
+    merged.write.parquet(staged)
+    write_months(spark.read.parquet(staged), root)
+
+
 def copy_table(spark: SparkSession, source: str, target: str) -> int:
     """Copy a Parquet table and check that both sides hold the same number of rows."""
     spark.read.parquet(source).write.mode("errorifexists").parquet(target)
