@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from candlewick.functions.numeric import ratio, round_half_up, truthy
+from candlewick.functions.numeric import round_half_up, truthy
+from candlewick.functions.rows import computed_once
 from candlewick.operators.indicators import relative_strength
 from candlewick.sources.bars import last_bars
 
@@ -92,9 +93,10 @@ def live_indicators(quotes: DataFrame, bars: DataFrame, few_quotes: bool = False
     loss = _sum(F.transform("changes", lambda c: F.greatest(-c, F.lit(0.0)))) / 14
     rows = rows.withColumn("gain", gain).withColumn("loss", loss)
     macd, signal = F.col("ema.fast") - F.col("ema.slow"), F.col("ema.signal")
-    return rows.select(
-        *[name for name in quotes.columns if name != "price"],
-        "data_points",
+    return computed_once(
+        rows,
+        *[F.col(name) for name in quotes.columns if name != "price"],
+        F.col("data_points"),
         round_half_up(_strict_mean(closes, 5), 2).alias("sma_5"),
         round_half_up(F.col("mean"), 2).alias("sma_20"),
         round_half_up(F.col("ema.fast"), 2).alias("ema_12"),

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # Recording the Python call site of every column expression costs more than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
