@@ -81,24 +81,39 @@ def latest_state(spark, folder) -> DataFrame:
 AGE = "event_time > (SELECT max(event_time) FROM latest) - INTERVAL 86400 SECONDS"
 
 
-def _alive(state: DataFrame) -> DataFrame:
-    return q.alive(state, as_of(state), DAY_SECONDS)
+# In batch form the clock reads the quotes themselves, which needs no per-symbol state; a stream has its state stored.
+
+
+def _alive(state: DataFrame, clock: DataFrame) -> DataFrame:
+    return q.alive(state, as_of(clock), DAY_SECONDS)
+
+
+def _from_batch(build):
+    return lambda spark, folder: build(latest(spark, folder), quotes(spark, folder))
+
+
+def _from_stream(build):
+    def run(spark, folder):
+        state = latest_state(spark, folder)
+        return build(state, state)
+
+    return run
 
 
 _both("latest_quotes", QUOTE, f"SELECT * FROM latest WHERE {AGE}", "latest")(
-    lambda spark, folder: _alive(latest(spark, folder)), lambda spark, folder: _alive(latest_state(spark, folder))
+    _from_batch(_alive), _from_stream(_alive)
 )
 
 
-def _active(state: DataFrame) -> DataFrame:
-    return q.active_symbols(state, as_of(state), DAY_SECONDS // 4)
+def _active(state: DataFrame, clock: DataFrame) -> DataFrame:
+    return q.active_symbols(state, as_of(clock), DAY_SECONDS // 4)
 
 
 _both(
     "active_symbols", "symbol:s last_update:t",
     """SELECT symbol, event_time AS last_update FROM latest
        WHERE event_time > (SELECT max(event_time) FROM latest) - INTERVAL 21600 SECONDS""", "latest",
-)(lambda spark, folder: _active(latest(spark, folder)), lambda spark, folder: _active(latest_state(spark, folder)))
+)(_from_batch(_active), _from_stream(_active))
 
 
 @register(
@@ -106,12 +121,11 @@ _both(
     "SELECT * FROM latest WHERE event_time >= (SELECT max(event_time) FROM latest) - INTERVAL 172800 SECONDS", "latest",
 )
 def purge_stale(spark, folder):
-    state = latest(spark, folder)
-    return q.purge_stale(state, as_of(state), 2 * DAY_SECONDS)
+    return q.purge_stale(latest(spark, folder), as_of(quotes(spark, folder)), 2 * DAY_SECONDS)
 
 
-def _summary(state: DataFrame) -> DataFrame:
-    return q.market_summary(state, as_of(state), DAY_SECONDS)
+def _summary(state: DataFrame, clock: DataFrame) -> DataFrame:
+    return q.market_summary(state, as_of(clock), DAY_SECONDS)
 
 
 SUMMARY = "active_symbols_count:i total_volume:i average_change_rate:2 positive_count:i negative_count:i"
@@ -122,14 +136,13 @@ SUMMARY_SQL = """SELECT (SELECT count(*) FROM rated) AS active_symbols_count, su
     count(*) FILTER (rate < 0) AS negative_count FROM """
 
 _both("market_summary", SUMMARY, SUMMARY_SQL + "rated", "latest", RATED)(
-    lambda spark, folder: _summary(latest(spark, folder)), lambda spark, folder: _summary(latest_state(spark, folder))
+    _from_batch(_summary), _from_stream(_summary)
 )
 
 
 @register("market_summary_first_20", SUMMARY, SUMMARY_SQL + "(SELECT * FROM rated ORDER BY symbol LIMIT 20)", "latest", RATED)
 def market_summary_first_20(spark, folder):
-    state = latest(spark, folder)
-    return q.market_summary(state, as_of(state), DAY_SECONDS, limit_symbols=20)
+    return q.market_summary(latest(spark, folder), as_of(quotes(spark, folder)), DAY_SECONDS, limit_symbols=20)
 
 
 # ---- signals --------------------------------------------------------------------------------------------------
