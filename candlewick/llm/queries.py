@@ -8,12 +8,14 @@ from candlewick.llm.packing import op7_best_fit_packing
 from candlewick.llm.quality import op3_quality_classifier
 from candlewick.llm.scoring import op10_lm_scoring
 from candlewick.llm.simhash import op8_simhash_near_dedup
+from candlewick.llm.suffixes import op6_suffix_array_dedup
 from candlewick.llm.tokenfile import op9_token_files
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_document_fingerprints": op5_document_fingerprints,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_token_files": op9_token_files,
