@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from candlewick.llm.chunking import op4_substring_dedup
 from candlewick.llm.fingerprints import op5_document_fingerprints
 from candlewick.llm.mixing import OP1_SQL, op1_mix_sources
+from candlewick.llm.neighbours import op2_nearest_neighbours
 from candlewick.llm.packing import op7_best_fit_packing
 from candlewick.llm.quality import op3_quality_classifier
 from candlewick.llm.scoring import op10_lm_scoring
@@ -13,7 +15,9 @@ from candlewick.llm.tokenfile import op9_token_files
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
