@@ -120,7 +120,7 @@ def without_copied_chunks(docs: DataFrame) -> DataFrame:
             out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_repeated", "n_removed", "text"])
             yield out.assign(doc_id=out["doc_id"].astype("Int64"))
 
-    return _with_texts(docs, listed, "left").mapInPandas(
+    return _with_texts(docs.select("doc_id", "text"), listed, "left").mapInPandas(
         run, "doc_id long, n_bytes long, n_repeated long, n_removed long, text string")
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from candlewick.llm.common import WORD, release, stored, table
+from candlewick.llm.common import WORD, stored, table
 
 WEIGHTS = (1, 2, 3)
 MOST_EPOCHS = 3
@@ -95,19 +95,19 @@ def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     """
     shares = mixed_shares(docs, seed).where("taken > 0").groupBy("doc_id", "source", "size").agg(F.max("taken").alias("taken"))
     words = f"[\\x20\\x09-\\x0D]*{WORD}"
-    rows = docs.withColumn("_size", word_count(F.col("text"))).alias("d").join(
+    rows = docs.select(F.struct(*docs.columns).alias("row")).withColumn("size", word_count(F.col("row.text"))).alias("d").join(
         shares.alias("s"),
-        F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & F.col("d.source").eqNullSafe(F.col("s.source"))
-        & (F.col("d._size") == F.col("s.size")),
+        F.col("d.row.doc_id").eqNullSafe(F.col("s.doc_id")) & F.col("d.row.source").eqNullSafe(F.col("s.source"))
+        & (F.col("d.size") == F.col("s.size")),
     )
-    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    rows = rows.select(*[F.col("d")[name].alias(name) for name in docs.columns], "size", "taken",
-                       F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
-    keep = F.least(F.col("taken") - (F.col("copy") - 1) * F.col("size"), F.col("size"))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({words})"), F.lit(1)), F.lit(1), keep.cast("int")), "")
-    text = F.when(keep < F.col("size"), cut).otherwise(F.col("text"))
-    columns = {"text": text} | ({"n_chars": F.char_length(text).cast("long")} if "n_chars" in docs.columns else {})
-    return rows.select(*[columns.get(name, F.col(name)).alias(name) for name in docs.columns])
+    copies = F.ceil(F.col("taken") / F.col("s.size")).cast("int")
+    rows = rows.select("row", "s.size", "taken", F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
+    text, keep = F.col("row.text"), F.least(F.col("taken") - (F.col("copy") - 1) * F.col("size"), F.col("size"))
+    parts = F.regexp_extract_all(text, F.lit(f"({words})"), F.lit(1))
+    rows = rows.withColumn("new", F.when(
+        keep < F.col("size"), F.array_join(F.slice(parts, F.lit(1), keep.cast("int")), "")).otherwise(text))
+    columns = {"text": F.col("new")} | ({"n_chars": F.char_length("new").cast("long")} if "n_chars" in docs.columns else {})
+    return rows.select(*[columns.get(name, F.col("row")[name]).alias(name) for name in docs.columns])
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from candlewick.llm.chunking import op4_substring_dedup
 from candlewick.llm.fingerprints import op5_document_fingerprints
 from candlewick.llm.mixing import OP1_SQL, op1_mix_sources
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_token_files": op9_token_files,
     "op10_lm_scoring": op10_lm_scoring,
+    "pipeline": corpus_pipeline.run,
 }
 SQL = {
     "op1_mix_sources": OP1_SQL,

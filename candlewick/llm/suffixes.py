@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from candlewick.llm.common import in_rows, mixed, release, signed, stored, table, text_bytes
 
@@ -126,15 +126,10 @@ def anchors(docs: DataFrame) -> DataFrame:
         run, "doc_id long, t int, place long, gram long, context long, number int")
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, t, packed): the texts as they are shuffled."""
-
-    @F.pandas_udf("binary")
-    def packed(texts: pd.Series) -> pd.Series:
-        pack = zstandard.ZstdCompressor(level=1).compress
-        return pd.Series([pack(text_bytes(text)) for text in texts], index=texts.index, dtype=object)
-
-    return docs.select("doc_id", F.hash("text").alias("t"), packed("text").alias("packed"))
+@F.pandas_udf(T.BinaryType())
+def _packed(texts: pd.Series) -> pd.Series:
+    pack = zstandard.ZstdCompressor(level=1).compress
+    return pd.Series([pack(text_bytes(text)) for text in texts], index=texts.index, dtype=object)
 
 
 def _unpacked(packed: bytes) -> bytes:
@@ -142,10 +137,12 @@ def _unpacked(packed: bytes) -> bytes:
 
 
 def _with_texts(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    """`rows` (doc_id, t, list of longs `at`) beside their texts."""
-    return packed_texts(docs).alias("d").join(
+    """`rows` (doc_id, t, at) beside the texts of their documents, packed for the shuffle, and the other columns in `row`."""
+    others = [F.col(name) for name in docs.columns if name not in ("doc_id", "text")] or [F.lit(None).alias("none")]
+    texts = docs.select("doc_id", F.hash("text").alias("t"), _packed("text").alias("packed"), F.struct(*others).alias("row"))
+    return texts.alias("d").join(
         rows.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.t") == F.col("r.t")), how
-    ).select("d.doc_id", "d.t", "packed", "at")
+    ).select("d.doc_id", "d.t", "packed", "at", "row")
 
 
 def contexts(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -166,7 +163,7 @@ def contexts(docs: DataFrame, members: DataFrame) -> DataFrame:
             yield out.assign(doc_id=out["doc_id"].astype("Int64"))
 
     listed = members.groupBy("doc_id", "t").agg(F.collect_list(F.struct("place", "gram", "large")).alias("at"))
-    return _with_texts(docs, listed, "inner").mapInPandas(
+    return _with_texts(docs.select("doc_id", "text"), listed, "inner").mapInPandas(
         run, "gram long, large boolean, doc_id long, t int, start long, windows int, data binary")
 
 
@@ -288,10 +285,27 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             yield out.assign(doc_id=out["doc_id"].astype("Int64"))
 
     listed = repeated_spans(docs).groupBy("doc_id", "t").agg(F.collect_list("span").alias("at"))
-    return _with_texts(docs, listed, "left").mapInPandas(
+    return _with_texts(docs.select("doc_id", "text"), listed, "left").mapInPandas(
         run, "doc_id long, n_bytes long, kept binary, n_removed long, n_spans long")
 
 
+def cleaned_documents(docs: DataFrame) -> DataFrame:
+    """`docs` with the repeated bytes gone from the texts; what is left of a character cut in two goes with them."""
+
+    @F.pandas_udf("string")
+    def kept(packed: pd.Series, at: pd.Series) -> pd.Series:
+        return pd.Series([
+            kept_bytes(_unpacked(x), np.zeros(0, np.int64) if y is None else np.asarray(y, np.int64))[0].decode(errors="ignore")
+            for x, y in zip(packed, at)], index=packed.index)
+
+    listed = repeated_spans(docs).groupBy("doc_id", "t").agg(F.collect_list("span").alias("at"))
+    rows = _with_texts(docs, listed, "left").select("doc_id", kept("packed", "at").alias("text"), "row")
+    columns = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.char_length("text").cast("long")
+    return rows.select(*[columns.get(name, F.col("row")[name]).alias(name) for name in docs.columns])
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.lower(F.sha2("kept", 256)).alias("kept_sha256"))
