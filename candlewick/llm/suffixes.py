@@ -33,7 +33,8 @@ WINDOW = 200
 GRAM = 32
 STARTS = WINDOW - GRAM + 1
 BUCKET_LIMIT = 2_000
-TASK_BYTES = 1 << 22  # of contexts refined at a time
+TASK_BYTES = 1 << 19  # of contexts refined at a time
+PIECE = 1 << 19  # window starts of a text read at a time
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -52,20 +53,15 @@ def ladder(data: np.ndarray, most: int) -> list[np.ndarray]:
 
 
 def strings(ids: list[np.ndarray], start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Identifiers of the strings at `start` of `length` bytes, from two overlapping steps of the ladder."""
+    """Identifiers of the strings at `start` of `length` bytes, each from two steps of the ladder that overlap."""
     length = np.broadcast_to(length, start.shape)
     out = np.zeros(len(start), np.uint64)
     step = np.minimum(np.log2(np.maximum(length, 1)).astype(np.int64), len(ids) - 1)
     for n in np.unique(step):
         at = step == n
         s, l = start[at], length[at]
-        size = 1 << int(n)
         value = ids[n][s] + l.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        done = size
-        while (done < l).any():  # more than once only where the ladder is shorter than the string
-            nxt = np.minimum(done, l - size)
-            value = mixed(value * np.uint64(3) + ids[n][s + nxt])
-            done += size
+        value = mixed(value * np.uint64(3) + ids[n][s + l - (1 << int(n))])
         out[at] = mixed(value)
     return out
 
@@ -90,15 +86,26 @@ def context_identifiers(ids: list[np.ndarray], size: int, anchor: np.ndarray) ->
     return mixed(strings(ids, low, high - low) + ends.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def document_anchors(data: np.ndarray) -> tuple[np.ndarray, ...]:
+def document_anchors(data: np.ndarray, piece: int = PIECE) -> tuple[np.ndarray, ...]:
     """q-gram identifier, context identifier, place and number of each anchor.
 
     A place is anchor << 16 | least << 8 | greatest distance of its windows' starts before it. Equal contexts within the
-    text: the first has their number, the others 0.
+    text: the first has their number, the others 0. Long texts are read in pieces that overlap by a context.
     """
-    ids = ladder(data, 256)
-    anchor, first, last = window_anchors(ids[GRAM.bit_length() - 1], STARTS)
-    gram, context = ids[GRAM.bit_length() - 1][anchor], context_identifiers(ids, len(data), anchor)
+    parts = []
+    for begin in range(0, len(data) - WINDOW + 1, piece):
+        low = max(begin - STARTS + 1, 0)
+        part = data[low : min(begin + piece + WINDOW + STARTS + WINDOW, len(data))]
+        ids = ladder(part, 256)
+        grams = ids[GRAM.bit_length() - 1]
+        anchor, first, last = window_anchors(grams[begin - low : begin - low + piece + STARTS - 1], STARTS)
+        anchor += begin - low
+        context = context_identifiers(ids, len(part), anchor)
+        parts.append(np.stack([anchor + low, first + begin, last + begin, signed(grams[anchor]), signed(context)]))
+    anchor, first, last, gram, context = np.concatenate(parts, 1)
+    fresh = np.append(True, anchor[1:] != anchor[:-1])  # a run of windows may go on in the next piece
+    last = last[np.append(fresh[1:], True)]
+    anchor, first, gram, context = (x[fresh] for x in (anchor, first, gram, context))
     place = anchor << 16 | (anchor - last) << 8 | (anchor - first)
     _, at, times = np.unique(context, return_index=True, return_counts=True)
     number = np.zeros(len(anchor), np.int64)
@@ -120,7 +127,7 @@ def anchors(docs: DataFrame) -> DataFrame:
                 at = np.repeat(which, [len(x[0]) for x in found])
                 yield pd.DataFrame({
                     "doc_id": batch["doc_id"].astype("Int64").array[at], "t": batch["t"].to_numpy()[at],
-                    "place": place, "gram": signed(gram), "context": signed(context), "number": number.astype(np.int32)})
+                    "place": place, "gram": gram, "context": context, "number": number.astype(np.int32)})
 
     return docs.select("doc_id", F.hash("text").alias("t"), "text").mapInPandas(
         run, "doc_id long, t int, place long, gram long, context long, number int")
