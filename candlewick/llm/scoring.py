@@ -232,21 +232,27 @@ def train(docs: DataFrame, order: int = ORDER, segments: int | None = None, most
 
     spread = parts.select("segment", "n_entries", "entries", "levels", "words", "word_counts").repartitionById(
         segments, F.col("segment"))
-    # The filter, at most `most_bytes`, and at most `head_words` words.
-    built = spread.mapInPandas(build, "segment int, bits long, data binary, head binary, head_counts binary").toPandas()
-    built = built.sort_values("segment")
-    bits, starts = np.zeros(segments, np.uint64), np.zeros(segments, np.int64)
-    at = built["segment"].to_numpy(int)
-    bits[at] = built["bits"].to_numpy(np.uint64)
-    starts[at] = np.cumsum([0, *map(len, built["data"])])[:-1]
-    head = np.frombuffer(b"".join(built["head"]), "<u8")
+    built = stored(spread.mapInPandas(build, "segment int, bits long, data binary, head binary, head_counts binary"), "lm-filter")
+    parts_of = built.select("segment", "bits", F.length("data").alias("n_data"), F.length("head").alias("n_head")).toPandas()
+    bits, starts, heads = np.zeros(segments, np.uint64), np.zeros(segments, np.int64), np.zeros(segments, np.int64)
+    at = parts_of["segment"].to_numpy(int)
+    bits[at] = parts_of["bits"].to_numpy(np.uint64)
+    starts[at] = np.cumsum([0, *parts_of["n_data"]])[:-1]
+    heads[at] = np.cumsum([0, *parts_of["n_head"]])[:-1] // 8
+    data = np.zeros(int(parts_of["n_data"].sum()), np.uint8)
+    head, head_counts = (np.zeros(int(parts_of["n_head"].sum()) // 8, kind) for kind in ("<u8", "<i8"))
+    # The filter, at most `most_bytes`, and at most `head_words` words, fetched a part at a time.
+    for row in built.select("segment", "data", "head", "head_counts").toLocalIterator():
+        first, word = starts[row.segment], heads[row.segment]
+        data[first : first + len(row.data)] = np.frombuffer(row.data, np.uint8)
+        head[word : word + len(row.head) // 8] = np.frombuffer(row.head, "<u8")
+        head_counts[word : word + len(row.head) // 8] = np.frombuffer(row.head_counts, "<i8")
     rank = np.argsort(head)
     tokens = int(known["n_words"].sum())
     follow = [float(np.log(max(d, 2)) / np.log(max(tokens, d, 2))) for d in distinct]
     model = Model(
-        order, segments if len(built) else 0, probes, bits, starts, np.frombuffer(b"".join(built["data"]), np.uint8),
-        tokens, int(by_level.sum()), follow, head[rank],
-        np.frombuffer(b"".join(built["head_counts"]), "<i8")[rank],
+        order, segments if len(parts_of) else 0, probes, bits, starts, data,
+        tokens, int(by_level.sum()), follow, head[rank], head_counts[rank],
     )
 
     def rare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
