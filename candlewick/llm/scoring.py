@@ -72,9 +72,14 @@ def _segment(keys: np.ndarray, segments: int) -> np.ndarray:
     return ((mixed(keys ^ np.uint64(0xA5A5A5A5)) >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
 
 
-def _bit(keys: np.ndarray, level: int, probe: int, bits: np.ndarray) -> np.ndarray:
-    turn = (level * 0x9E3779B97F4A7C15 + probe * 0xC2B2AE3D27D4EB4F) & MASK
-    return ((mixed(keys + np.uint64(turn)) >> np.uint64(32)) * bits >> np.uint64(32)).astype(np.int64)
+def _turned(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each key at a level; probe i uses the first plus i times the second."""
+    a = mixed(keys + np.uint64(level * 0x9E3779B97F4A7C15 & MASK))
+    return a, (a << np.uint64(32) | a >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+
+
+def _bit(a: np.ndarray, b: np.ndarray, probe: int, bits: np.ndarray) -> np.ndarray:
+    return ((a + b * np.uint64(probe) >> np.uint64(32)) * bits >> np.uint64(32)).astype(np.int64)
 
 
 def gram_counts(docs: DataFrame, order: int, segments: int) -> DataFrame:
@@ -146,8 +151,9 @@ def filter_part(keys: np.ndarray, levels: np.ndarray, bits: int, probes: int) ->
     flags = np.zeros(bits, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         entered = keys[levels >= level]
+        a, b = _turned(entered, level)
         for probe in range(probes):
-            flags[_bit(entered, level, probe, np.uint64(bits))] = True
+            flags[_bit(a, b, probe, np.uint64(bits))] = True
     return np.packbits(flags, bitorder="little")
 
 
@@ -166,40 +172,50 @@ class Model:
     head_counts: np.ndarray
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Quantised counts of distinct `keys`."""
+        """Quantised counts of `keys`."""
         level, left = np.zeros(len(keys), np.int64), np.arange(len(keys))
         if not self.segments:
             return _MEAN[level]
         segment = _segment(keys, self.segments)
         bits, starts = self.bits[segment], self.starts[segment]
-        left = left[bits > 0]
+        if not self.bits.all():
+            left = left[bits > 0]
         for step in range(1, LEVELS + 1):
+            a, b = _turned(keys[left], step)
             for probe in range(self.probes):
-                bit = _bit(keys[left], step, probe, bits[left])
-                left = left[(self.data[starts[left] + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 == 1]
+                bit = _bit(a, b, probe, bits[left])
+                there = (self.data[starts[left] + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 == 1
+                left, a, b = left[there], a[there], b[there]
             if not len(left):
                 break
             level[left] = step
         return _MEAN[level]
 
-    def score(self, rows: list[list[np.ndarray]]) -> list[float]:
-        """log10 probability of each text, from its `grams`."""
-        sizes = np.array([len(keys[0]) for keys in rows]) - (self.order - 1)
-        counts = []
-        for n in range(1, self.order + 1):
-            keys, index = np.unique(np.concatenate([r[n - 1] for r in rows]), return_inverse=True)
-            counts.append(np.split(self.counts(keys)[index], np.cumsum([len(r[n - 1]) for r in rows])[:-1]))
-        tail = lambda n, i: counts[n - 1][i][len(counts[n - 1][i]) - sizes[i] :]
-        scores = []
-        for i in range(len(rows)):
-            p = (tail(1, i) + 0.5) / (self.tokens + 0.5 * (self.words + 1))
-            for n in range(2, self.order + 1):
-                before = counts[n - 2][i]
-                history = before[len(before) - sizes[i] - 1 : -1]
-                k = np.maximum(history, 1.0) ** self.follow[n - 1]
-                p = (np.minimum(tail(n, i), history) + k * p) / (history + k)
-            scores.append(float(np.log10(np.minimum(p, 1.0)).sum()))
-        return scores
+    def score(self, rows: list[list[np.ndarray]]) -> tuple[np.ndarray, ...]:
+        """Of some texts' `grams`: the log10 probability of each, its tokens, and the exact counts of the tokens of all
+        texts, one after the other, or -1 for those that are not in the head."""
+        padding = self.order - 1
+        sizes = np.array([len(keys[0]) for keys in rows]) - padding
+        words, index = np.unique(np.concatenate([r[0] for r in rows]), return_inverse=True)
+        counts = [self.counts(words)[index]]
+        for n in range(2, self.order + 1):
+            counts.append(self.counts(np.concatenate([r[n - 1] for r in rows])))
+        ends = np.cumsum(sizes)
+        token = np.arange(ends[-1])
+        text = np.repeat(np.arange(len(rows)), sizes)
+        # The n-grams of a text are its tokens and `order` - n places of padding before them.
+        place = [token + (text + 1) * (self.order - n) for n in range(1, self.order + 1)]
+        p = (counts[0][place[0]] + 0.5) / (self.tokens + 0.5 * (self.words + 1))
+        for n in range(2, self.order + 1):
+            history = counts[n - 2][place[n - 2] - 1]
+            k = np.maximum(history, 1.0) ** self.follow[n - 1]
+            p = (np.minimum(counts[n - 1][place[n - 1]], history) + k * p) / (history + k)
+        scores = np.add.reduceat(np.log10(np.minimum(p, 1.0)), ends - sizes)
+        exact = np.full(len(words), -1, np.int64)
+        if len(self.head):
+            at = np.minimum(np.searchsorted(self.head, words), len(self.head) - 1)
+            exact = np.where(self.head[at] == words, self.head_counts[at], -1)
+        return scores, sizes, exact[index][place[0]], words[index][place[0]]
 
 
 def train(docs: DataFrame, order: int = ORDER, segments: int | None = None, most_bytes: int = FILTER_BYTES,
@@ -272,22 +288,17 @@ def scored(docs: DataFrame, model: Model, rare: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = sent.value
-        for batch in in_rows(batches, ["doc_id", "text"]):
-            rows = [grams(text, m.order) for text in batch["text"]]
-            out = []
-            for doc_id, keys, score in zip(batch["doc_id"], rows, m.score(rows)):
-                tokens = keys[0][m.order - 1 :]
-                if len(m.head):
-                    at = np.minimum(np.searchsorted(m.head, tokens), len(m.head) - 1)
-                    found = m.head[at] == tokens
-                    common = m.head_counts[at[found]]
-                else:
-                    found, common = np.zeros(len(tokens), bool), np.zeros(0)
-                other, times = np.unique(tokens[~found], return_counts=True)
-                out.append((doc_id, len(tokens), len(common), float(np.log10((common + 0.5) / total).sum()), score,
-                            signed(other), times))
-            out = pd.DataFrame(out, columns=["doc_id", "n_tokens", "head_known", "head_score", "score", "other", "times"])
-            yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+        for batch in in_rows(batches, ["doc_id", "text"], 512):
+            scores, sizes, exact, words = m.score([grams(text, m.order) for text in batch["text"]])
+            cuts = np.cumsum(sizes)[:-1]
+            known = exact >= 0
+            base = np.where(known, np.log10((np.maximum(exact, 0) + 0.5) / total), 0.0)
+            starts = np.append(0, cuts)
+            other = [np.unique(w[~k], return_counts=True) for w, k in zip(np.split(words, cuts), np.split(known, cuts))]
+            yield pd.DataFrame({
+                "doc_id": batch["doc_id"].astype("Int64").array, "n_tokens": sizes,
+                "head_known": np.add.reduceat(known.astype(np.int64), starts), "head_score": np.add.reduceat(base, starts),
+                "score": scores, "other": [signed(w) for w, _ in other], "times": [n for _, n in other]})
 
     first = stored(
         docs.select("doc_id", "text").mapInPandas(
