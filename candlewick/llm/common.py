@@ -80,53 +80,98 @@ def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
+#: All white space but the space and the line end, and the mark that separates pieces.
+ODD_SPACE = tuple("\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000\0") + tuple(
+    map(chr, range(0x2000, 0x200B)))
+ASCII_SPACE = tuple(c for c in ODD_SPACE if c.isascii())
+
+
 class Encoder:
     """Token ids of a text, as little-endian 32-bit bytes.
 
     Texts are cut where no token can cross: for `cut="spaced"` before a single space between two other characters and
-    around a single line end, for `cut="dropped"` (white space never reaches a token) at spaces and line ends. The ids
-    of each distinct piece come from the tokenizer once and are remembered, up to `most` pieces of 64 characters.
+    around a single line end, for `cut="dropped"` (white space never reaches a token) at spaces and line ends. The ids of each distinct piece come from the
+    tokenizer once and are remembered. Of `most` pieces of up to 64 characters the half not used for longest is forgotten.
     Strings of special tokens are ordinary text.
     """
 
     _cut = re.compile(r"(?<=\S)(?= \S)")
+    _plain = re.compile(r" ?\S{1,64}")
 
-    def __init__(self, path: str, cut: str, most: int = 800_000):
+    def __init__(self, path: str, cut: str, most: int = 1_200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cut, self.most, self.known = cut, most, {"": b""}
+        self.cut, self.most, self.known, self.older = cut, most, {"": b""}, {}
+        self.sizes = self.ends = None
 
     def pieces(self, text: str) -> list[str]:
         if self.cut == "dropped":
             return text.replace("\n", " ").split(" ")
-        if "\0" in text or text.split() != text.replace("\n", " ").split(" "):
+        if any(pair in text for pair in ("  ", " \n", "\n ", "\n\n")) or text[:1].isspace() or text[-1:].isspace() or any(
+                c in text for c in (ASCII_SPACE if text.isascii() else ODD_SPACE)):
             return self._cut.split(text)
         return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
-    @staticmethod
-    def _packed(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _tables(self) -> None:
+        """Of each token: its bytes (byte-level tokens have one character per byte), and whether it ends a word."""
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        self.ends = np.zeros(len(self.sizes), bool)
+        for token, one in self.tokenizer.get_vocab().items():
+            self.sizes[one], self.ends[one] = len(token), token.endswith("</w>")
+
+    def _cut_words(self, pieces: list[str]) -> tuple[list[str], np.ndarray, list[int], list[int]]:
+        """Words of letters, perhaps with stops behind them: each gives one word or two that end with an end token."""
+        bare = [piece.rstrip(".,;:!?") for piece in pieces]
+        plain = [(piece, 2 - (word == piece)) for piece, word in zip(pieces, bare) if word.isalpha()]
+        ids = self._ids(" ".join([piece for piece, _ in plain]))
+        ends, count = np.flatnonzero(self.ends[ids]) + 1, np.cumsum([n for _, n in plain], dtype=np.int64)
+        if not plain or count[-1] != len(ends):  # some letter became more than letters
+            return [], ids, [], []
+        cuts = ends[count - 1].tolist()
+        return [piece for piece, _ in plain], ids, [0, *cuts[:-1]], cuts
+
+    def _cut_bytes(self, pieces: list[str]) -> tuple[list[str], np.ndarray, list[int], list[int]]:
+        """Pieces without white space but a space in front; those without one get a line end, a token of its own."""
+        plain = [piece for piece in pieces if self._plain.fullmatch(piece)]
+        bare = [piece[0] != " " for piece in plain]
+        ids = self._ids("".join(["\n" + piece if b else piece for piece, b in zip(plain, bare)]))
+        size = np.cumsum([len(piece.encode()) + b for piece, b in zip(plain, bare)], dtype=np.int64)
+        cuts = np.searchsorted(np.cumsum(self.sizes[ids]), size) + 1
+        return plain, ids, (np.append(0, cuts)[:-1] + np.array(bare, np.int64)).tolist(), cuts.tolist()
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return {piece: self._packed(one.ids) for piece, one in zip(pieces, encoded)}
+        """Ids of new pieces: those of plain form in one text, whose ids are then cut into theirs, the others alone."""
+        if self.sizes is None:
+            self._tables()
+        plain, ids, begins, cuts = (self._cut_words if self.cut == "dropped" else self._cut_bytes)(pieces)
+        data = ids.tobytes()
+        found = {piece: data[4 * a : 4 * b] for piece, a, b in zip(plain, begins, cuts)}
+        rest = [piece for piece in pieces if piece not in found]
+        if rest:
+            for piece, one in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+                found[piece] = np.array(one.ids, "<u4").tobytes()
+        return found
 
     def encode(self, text: str | None) -> bytes:
         pieces = self.pieces(text or "")
-        new = list({piece for piece in pieces if piece not in self.known})
-        long = {}
-        if new:
-            if len(self.known) + len(new) > self.most:
-                self.known = {"": b""}
-                new = list(set(pieces))
-            found = self._learn(new)
-            self.known.update((piece, ids) for piece, ids in found.items() if len(piece) <= 64)
-            long = {piece: ids for piece, ids in found.items() if len(piece) > 64}
-        if long:
-            return b"".join([self.known[piece] if len(piece) <= 64 else long[piece] for piece in pieces])
-        return b"".join(map(self.known.__getitem__, pieces))
+        parts = list(map(self.known.get, pieces))
+        if None in parts:
+            missing = [i for i, part in enumerate(parts) if part is None]
+            new = {pieces[i] for i in missing}
+            if len(self.known) + len(new) > self.most // 2:
+                self.older, self.known = self.known, {"": b""}
+            older = self.older
+            found = {piece: older[piece] for piece in new if piece in older}
+            found |= self._learn([piece for piece in new if piece not in found])
+            for i in missing:
+                parts[i] = found[pieces[i]]
+            self.known.update(found if max(map(len, new)) <= 64 else {p: x for p, x in found.items() if len(p) <= 64})
+        return b"".join(parts)
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
