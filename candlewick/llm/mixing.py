@@ -19,7 +19,7 @@ from candlewick.llm.common import WORD, stored, table
 
 WEIGHTS = (1, 2, 3)
 MOST_EPOCHS = 3
-RANGE_ROWS = 100_000
+RANGE_ROWS = 4096
 KEY_SPAN = 1 << 32
 
 

@@ -28,7 +28,7 @@ from candlewick.llm.common import encoder, in_rows, stored, table, tokenizer_pat
 
 SEQUENCE = 4096
 END_ID = 1
-RANGE_ROWS = 100_000
+RANGE_ROWS = 4096
 BLOCK = 64
 ROUNDS = 40
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
