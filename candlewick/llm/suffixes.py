@@ -9,8 +9,10 @@ bytes mean a repeated string. Three things keep this small:
 * A bucket with one member holds no repeat and is left out. Members whose whole context (all windows that may have this
   anchor) is equal repeat each other, are done, and go on as one.
 * What is left of a bucket, distinct contexts of the same q-gram, meets in one task with the bytes of its windows, and is
-  refined to full length there. A bucket of more than `BUCKET_LIMIT` contexts is refined by a shuffle on the identifiers
-  of its windows instead, so no task ever holds it.
+  refined to full length there. A bucket of more than `BUCKET_LIMIT` contexts is refined by shuffles instead, so no task
+  ever holds it: the windows of each context go in ever smaller groups (`LEVELS`) by the identifier of the bytes that all
+  windows of a group share. A group alone with these is left out, groups with all bytes equal are done, and the rest
+  goes on.
 
 Identifiers have 64 bits; two different strings of a corpus of 10^9 candidate windows share one with a chance of 3 %.
 
@@ -33,6 +35,7 @@ WINDOW = 200
 GRAM = 32
 STARTS = WINDOW - GRAM + 1
 BUCKET_LIMIT = 2_000
+LEVELS = (43, 11, 1)  # windows in a group
 TASK_BYTES = 1 << 19  # of contexts refined at a time
 PIECE = 1 << 19  # window starts of a text read at a time
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -153,7 +156,8 @@ def _with_texts(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
 
 
 def contexts(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """The bytes of each member's windows: gram, large, doc_id, t, start, windows, data."""
+    """The bytes of each member's windows: gram, large, doc_id, t, start, greatest (distance of the first window before the
+    anchor), windows, data."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in in_rows(batches, ["doc_id", "t", "packed", "at"]):
@@ -164,14 +168,14 @@ def contexts(docs: DataFrame, members: DataFrame) -> DataFrame:
                     place = member["place"]
                     anchor, least, greatest = place >> 16, place >> 8 & 255, place & 255
                     start = anchor - greatest
-                    rows.append((member["gram"], member["large"], doc_id, t, start, greatest - least + 1,
+                    rows.append((member["gram"], member["large"], doc_id, t, start, greatest, greatest - least + 1,
                                  data[start : anchor - least + WINDOW]))
-            out = pd.DataFrame(rows, columns=["gram", "large", "doc_id", "t", "start", "windows", "data"])
+            out = pd.DataFrame(rows, columns=["gram", "large", "doc_id", "t", "start", "greatest", "windows", "data"])
             yield out.assign(doc_id=out["doc_id"].astype("Int64"))
 
     listed = members.groupBy("doc_id", "t").agg(F.collect_list(F.struct("place", "gram", "large")).alias("at"))
     return _with_texts(docs.select("doc_id", "text"), listed, "inner").mapInPandas(
-        run, "gram long, large boolean, doc_id long, t int, start long, windows int, data binary")
+        run, "gram long, large boolean, doc_id long, t int, start long, greatest int, windows int, data binary")
 
 
 def window_identifiers(rows: list[bytes], windows: np.ndarray) -> np.ndarray:
@@ -221,49 +225,72 @@ def refined_in_tasks(rows: DataFrame) -> DataFrame:
         if held:
             yield done(held)
 
-    dealt = rows.drop("large").repartition("gram").sortWithinPartitions("gram")
+    dealt = rows.repartition("gram").sortWithinPartitions("gram")
     return dealt.mapInPandas(run, "doc_id long, t int, span long")
 
 
-def refined_by_shuffle(rows: DataFrame) -> DataFrame:
-    """The same for large buckets: window identifiers are counted, those that repeat are joined back."""
+def window_groups(rows: DataFrame, size: int) -> DataFrame:
+    """The contexts cut into groups of `size` windows, by distance before the anchor, with the identifiers of the bytes
+    that all windows of a whole group share (`core`) and of all bytes of those there are (`whole`)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in in_rows(batches, ["doc_id", "t", "start", "windows", "data"], 2048):
-            windows = batch["windows"].to_numpy()
-            owner = np.repeat(np.arange(len(batch)), windows)
-            turn = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+        for batch in in_rows(batches, ["doc_id", "t", "start", "greatest", "windows", "data"], 512):
+            greatest, windows = batch["greatest"].to_numpy(np.int64), batch["windows"].to_numpy(np.int64)
+            least = greatest - windows + 1
+            number = greatest // size - least // size + 1
+            owner = np.repeat(np.arange(len(batch)), number)
+            group = least[owner] // size + np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
+            low, high = np.maximum(group * size, least[owner]), np.minimum(group * size + size - 1, greatest[owner])
+            begin = np.cumsum([0, *map(len, batch["data"])])[:-1][owner] + greatest[owner]  # of the anchor
+            ids = ladder(np.frombuffer(b"".join(batch["data"]), np.uint8), 256)
+            shared = strings(ids, begin - group * size, np.full(len(owner), WINDOW - size + 1))
+            whole = strings(ids, begin - high, WINDOW + high - low)
+            kind = (group * 256 + size).astype(np.uint64)
+            data, first = batch["data"].array, greatest[owner] - high
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"].astype("Int64").array[owner], "t": batch["t"].to_numpy()[owner],
-                "start": batch["start"].to_numpy()[owner] + turn,
-                "id": signed(window_identifiers(list(batch["data"]), windows))})
+                "start": batch["start"].to_numpy()[owner] + first, "greatest": high, "windows": high - low + 1,
+                "data": [data[i][a : a + n] for i, a, n in zip(owner, first, (high - low + WINDOW).tolist())],
+                "core": signed(mixed(shared + kind)), "whole": signed(mixed(whole * np.uint64(3) + mixed(
+                    ((group * 256 + low - group * size) * 256 + high - low).astype(np.uint64))))})
+
+    return rows.mapInPandas(run, "doc_id long, t int, start long, greatest int, windows int, data binary, core long, whole long")
+
 
-    found = stored(rows.drop("large").mapInPandas(run, "doc_id long, t int, start long, id long"), "suffix-windows")
-    repeated = found.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
-    return found.join(repeated, "id", "left_semi").select(
-        "doc_id", "t", (F.shiftleft("start", 9) + WINDOW).alias("span"))
+def refined_by_shuffle(rows: DataFrame) -> DataFrame:
+    """The same for large buckets, level by level. Equal groups go on as one, as the partner of what is left."""
+    spans = None
+    for size in LEVELS:
+        groups = stored(window_groups(rows, size), "suffix-groups")
+        one = stored(groups.groupBy("core", "whole").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "t", "start", "greatest", "windows", "data")).alias("first")
+        ), "suffix-firsts")
+        equal = stored(one.where("n > 1").select("whole"), "suffix-equal")
+        found = groups.join(equal, "whole", "left_semi").select(
+            "doc_id", "t", (F.shiftleft("start", 9) + F.col("windows") + (WINDOW - 1)).alias("span"))
+        spans = found if spans is None else spans.union(found)
+        left = stored(one.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"), "suffix-left")
+        rows = one.join(left, "core", "left_semi").select("first.*")
+    return spans
 
 
 def repeated_spans(docs: DataFrame, limit: int = BUCKET_LIMIT) -> DataFrame:
     """(doc_id, t, span) of all repeated windows; t is the text's hash, a span is first byte << 9 | length."""
     found = stored(anchors(docs), "suffix-anchors")
     grams = found.where("number > 0").groupBy("gram").agg(F.sum("number").alias("n")).where("n > 1").select("gram")
-    shared = stored(found.join(grams, "gram", "left_semi"), "suffix-shared")
+    # What a hot q-gram is joined to is stored first: both sides of the join are then shuffled, and Spark can split it.
+    shared = stored(found.join(stored(grams, "suffix-grams"), "gram", "left_semi"), "suffix-shared")
     release(found)
-    firsts = shared.where("number > 0")
-    one = firsts.groupBy("gram", "context").agg(
-        F.sum("number").alias("n"), F.min(F.struct("doc_id", "t", "place")).alias("first"))
-    one = stored(one, "suffix-contexts")
-    equal = one.where("n > 1").select("context")
-    done = shared.join(equal, "context", "left_semi")
+    one = stored(shared.where("number > 0").groupBy("gram", "context").agg(
+        F.sum("number").alias("n"), F.min(F.struct("doc_id", "t", "place")).alias("first")), "suffix-contexts")
+    done = shared.join(stored(one.where("n > 1").select("context"), "suffix-equal"), "context", "left_semi")
     whole = done.select("doc_id", "t", (F.shiftleft(F.shiftright("place", 16) - F.col("place").bitwiseAND(255), 9)
                         + F.col("place").bitwiseAND(255) - F.shiftright("place", 8).bitwiseAND(255) + WINDOW).alias("span"))
     buckets = one.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
         "gram", (F.col("n") > limit).alias("large"))
-    members = one.select("gram", "first.*").join(buckets, "gram")
+    members = one.select("gram", "first.*").join(stored(buckets, "suffix-buckets"), "gram")
     rows = stored(contexts(docs, members), "suffix-rows")
-    spans = whole.union(refined_in_tasks(rows.where(~F.col("large")))).union(refined_by_shuffle(rows.where("large")))
-    return spans
+    return whole.union(refined_in_tasks(rows.where(~F.col("large")))).union(refined_by_shuffle(rows.where("large")))
 
 
 def kept_bytes(data: bytes, spans: np.ndarray) -> tuple[bytes, int, int]:
