@@ -5,8 +5,7 @@ other signs, runs counted once) and pairs of words that repeat side by side or t
 the indicators; a linear hinge-loss model is then fitted on the scaled rows by dual coordinate descent.
 
 The ratios come from all training rows: per-task counts are summed per feature, so what is gathered is bounded by
-`FEATURES`. The linear model is fitted on at most `FIT_ROWS` of them, the rows with the lowest hashes of their ids (a
-documented bound). Both together are the model, two arrays of `FEATURES` numbers, which is what workers get.
+`FEATURES`. The linear model is fitted on about `FIT_ROWS` of them, chosen by a hash of their ids (a documented bound). Both together are the model, two arrays of `FEATURES` numbers, which is what workers get.
 
 The score is a logistic curve of the margin, fitted on the same rows; 0.5 is where the curve separates the classes.
 
@@ -27,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from candlewick.llm.common import in_rows, mixed, release, remainder, stored, table, text_bytes
 
 FEATURES = 1 << 20
-FIT_ROWS = 20_000
+FIT_ROWS = 8_000
 EPOCHS = 12
 COST = 1.0
 
@@ -163,8 +162,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     ratio = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
     share = min(1.0, fit_rows / n.sum())
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
-    # At most about `fit_rows` rows reach the driver.
-    sample = rows.where(spread).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(fit_rows).toPandas()
+    # About `fit_rows` rows reach the driver; the limit only acts if many rows have one id.
+    sample = rows.where(spread).select("y", "at").limit(fit_rows + fit_rows // 4).toPandas()
     release(rows)
     at = [np.asarray(x, np.int32) for x in sample["at"]]
     return fitted_model(ratio, at, sample["y"].to_numpy() * 2 - 1)
