@@ -3,7 +3,8 @@
 Counting: each task sums the n-grams of its documents and deals them by hash into segments; a segment's task sums what all
 tasks sent, and packs its part of the filter: an n-gram of quantised count level j is entered with levels 1 to j. A
 segment's part is sized by its own entries. The parts together are at most `FILTER_BYTES`, above which entries get fewer
-bits (and probes err more often), so the broadcast is bounded at any size of corpus.
+bits (and probes err more often), so the broadcast is bounded at any size of corpus. All bits of an entry stand in one
+64-bit word: a probe is one read.
 
 Scoring: an n-gram's level is found by probing levels 1, 2, ... until one is absent. Probabilities are interpolated:
 
@@ -34,8 +35,8 @@ SEED = 29
 END, BEGIN = np.uint64(0x656E64), np.uint64(0x626567)
 BASE = 1.5  # ratio of neighbouring count levels
 LEVELS = 120
-PROBES = 6
-BITS_PER_ENTRY = 9.0
+PROBES = 4
+BITS_PER_ENTRY = 10.0
 FILTER_BYTES = 256 << 20
 HEAD_WORDS = 500_000
 FLUSH = 3_000_000
@@ -72,14 +73,14 @@ def _segment(keys: np.ndarray, segments: int) -> np.ndarray:
     return ((mixed(keys ^ np.uint64(0xA5A5A5A5)) >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
 
 
-def _turned(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of each key at a level; probe i uses the first plus i times the second."""
+def _places(keys: np.ndarray, level: int, words: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each key's 64-bit word of a segment's part at a level, and its bits there: all probes read one word."""
     a = mixed(keys + np.uint64(level * 0x9E3779B97F4A7C15 & MASK))
-    return a, (a << np.uint64(32) | a >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
-
-
-def _bit(a: np.ndarray, b: np.ndarray, probe: int, bits: np.ndarray) -> np.ndarray:
-    return ((a + b * np.uint64(probe) >> np.uint64(32)) * bits >> np.uint64(32)).astype(np.int64)
+    fields = (a & np.uint64(0xFFFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)
+    bits = np.zeros(len(keys), np.uint64)
+    for probe in range(probes):
+        bits |= np.uint64(1) << (fields >> np.uint64(58 - 6 * probe) & np.uint64(63))
+    return ((a >> np.uint64(32)) * np.uint64(words) >> np.uint64(32)).astype(np.int64), bits
 
 
 def gram_counts(docs: DataFrame, order: int, segments: int) -> DataFrame:
@@ -147,14 +148,12 @@ def segment_parts(sums: DataFrame, order: int, segments: int) -> DataFrame:
              "entries binary, levels binary, n_entries long")
 
 
-def filter_part(keys: np.ndarray, levels: np.ndarray, bits: int, probes: int) -> np.ndarray:
-    flags = np.zeros(bits, bool)
+def filter_part(keys: np.ndarray, levels: np.ndarray, words: int, probes: int) -> np.ndarray:
+    part = np.zeros(words, np.uint64)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        entered = keys[levels >= level]
-        a, b = _turned(entered, level)
-        for probe in range(probes):
-            flags[_bit(a, b, probe, np.uint64(bits))] = True
-    return np.packbits(flags, bitorder="little")
+        at, bits = _places(keys[levels >= level], level, words, probes)
+        np.bitwise_or.at(part, at, bits)
+    return part
 
 
 @dataclass
@@ -162,9 +161,7 @@ class Model:
     order: int
     segments: int
     probes: int
-    bits: np.ndarray  # of each segment
-    starts: np.ndarray  # first byte of each segment
-    data: np.ndarray
+    data: np.ndarray  # a row of 64-bit words for each segment
     tokens: int
     words: int
     follow: list[float]  # for each order, the exponent g
@@ -173,22 +170,20 @@ class Model:
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Quantised counts of `keys`."""
-        level, left = np.zeros(len(keys), np.int64), np.arange(len(keys))
+        level = np.zeros(len(keys), np.int64)
         if not self.segments:
             return _MEAN[level]
-        segment = _segment(keys, self.segments)
-        bits, starts = self.bits[segment], self.starts[segment]
-        if not self.bits.all():
-            left = left[bits > 0]
-        for step in range(1, LEVELS + 1):
-            a, b = _turned(keys[left], step)
-            for probe in range(self.probes):
-                bit = _bit(a, b, probe, bits[left])
-                there = (self.data[starts[left] + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 == 1
-                left, a, b = left[there], a[there], b[there]
-            if not len(left):
-                break
-            level[left] = step
+        data, words = self.data.reshape(-1), self.data.shape[1]
+        for begin in range(0, len(keys), 1 << 15):  # what fits the processor's cache
+            part = keys[begin : begin + (1 << 15)]
+            left, row = np.arange(begin, begin + len(part)), _segment(part, self.segments) * words
+            for step in range(1, LEVELS + 1):
+                at, bits = _places(part, step, words, self.probes)
+                there = np.flatnonzero(data[row + at] & bits == bits)
+                left, part, row = left[there], part[there], row[there]
+                if not len(left):
+                    break
+                level[left] = step
         return _MEAN[level]
 
     def score(self, rows: list[list[np.ndarray]]) -> tuple[np.ndarray, ...]:
@@ -226,8 +221,10 @@ def train(docs: DataFrame, order: int = ORDER, segments: int | None = None, most
     parts = stored(segment_parts(gram_counts(docs, order, segments), order, segments), "lm-parts")
     # One row per segment, as many as there are partitions.
     known = parts.select("segment", "by_level", "n_words", "distinct", "n_entries").toPandas()
-    entries = int(known["n_entries"].sum())
-    per_entry = min(BITS_PER_ENTRY, most_bytes * 8 / max(entries, 1))
+    # All parts get the size that the largest needs; a hash deals the entries out evenly.
+    largest = int(known["n_entries"].max()) if len(known) else 0
+    per_entry = min(BITS_PER_ENTRY, most_bytes * 8 / max(largest * segments, 1))
+    size = max(1, int(largest * per_entry) // 64)
     probes = max(1, min(PROBES, round(per_entry * np.log(2))))
     by_level = np.sum(list(known["by_level"]), axis=0) if len(known) else np.zeros(LEVELS + 1)
     above = np.cumsum(by_level[::-1])[::-1]  # words of each level or higher
@@ -237,37 +234,32 @@ def train(docs: DataFrame, order: int = ORDER, segments: int | None = None, most
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for s, n, keys, levels, words, counts in zip(*(batch[c] for c in (
-                    "segment", "n_entries", "entries", "levels", "words", "word_counts"))):
-                bits = max(64, int(n * per_entry) // 64 * 64)
-                data = filter_part(np.frombuffer(keys, "<u8"), np.frombuffer(levels, np.uint8), bits, probes)
+            for s, keys, levels, words, counts in zip(*(batch[c] for c in (
+                    "segment", "entries", "levels", "words", "word_counts"))):
+                data = filter_part(np.frombuffer(keys, "<u8"), np.frombuffer(levels, np.uint8), size, probes)
                 words, counts = np.frombuffer(words, "<u8"), np.frombuffer(counts, "<i8")
                 common = counts >= low
-                yield pd.DataFrame({"segment": [s], "bits": [bits], "data": [data.tobytes()],
+                yield pd.DataFrame({"segment": [s], "data": [data.tobytes()],
                                     "head": [words[common].tobytes()], "head_counts": [counts[common].tobytes()]})
 
-    spread = parts.select("segment", "n_entries", "entries", "levels", "words", "word_counts").repartitionById(
+    spread = parts.select("segment", "entries", "levels", "words", "word_counts").repartitionById(
         segments, F.col("segment"))
-    built = stored(spread.mapInPandas(build, "segment int, bits long, data binary, head binary, head_counts binary"), "lm-filter")
-    parts_of = built.select("segment", "bits", F.length("data").alias("n_data"), F.length("head").alias("n_head")).toPandas()
-    bits, starts, heads = np.zeros(segments, np.uint64), np.zeros(segments, np.int64), np.zeros(segments, np.int64)
-    at = parts_of["segment"].to_numpy(int)
-    bits[at] = parts_of["bits"].to_numpy(np.uint64)
-    starts[at] = np.cumsum([0, *parts_of["n_data"]])[:-1]
-    heads[at] = np.cumsum([0, *parts_of["n_head"]])[:-1] // 8
-    data = np.zeros(int(parts_of["n_data"].sum()), np.uint8)
+    built = stored(spread.mapInPandas(build, "segment int, data binary, head binary, head_counts binary"), "lm-filter")
+    parts_of = built.select("segment", F.length("head").alias("n_head")).toPandas()
+    heads = np.zeros(segments, np.int64)
+    heads[parts_of["segment"].to_numpy(int)] = np.cumsum([0, *parts_of["n_head"]])[:-1] // 8
+    data = np.zeros((segments, size), np.uint64)
     head, head_counts = (np.zeros(int(parts_of["n_head"].sum()) // 8, kind) for kind in ("<u8", "<i8"))
     # The filter, at most `most_bytes`, and at most `head_words` words, fetched a part at a time.
     for row in built.select("segment", "data", "head", "head_counts").toLocalIterator():
-        first, word = starts[row.segment], heads[row.segment]
-        data[first : first + len(row.data)] = np.frombuffer(row.data, np.uint8)
+        data[row.segment], word = np.frombuffer(row.data, np.uint64), heads[row.segment]
         head[word : word + len(row.head) // 8] = np.frombuffer(row.head, "<u8")
         head_counts[word : word + len(row.head) // 8] = np.frombuffer(row.head_counts, "<i8")
     rank = np.argsort(head)
     tokens = int(known["n_words"].sum())
     follow = [float(np.log(max(d, 2)) / np.log(max(tokens, d, 2))) for d in distinct]
     model = Model(
-        order, segments if len(parts_of) else 0, probes, bits, starts, data,
+        order, segments if len(parts_of) else 0, probes, data,
         tokens, int(by_level.sum()), follow, head[rank], head_counts[rank],
     )
 
