@@ -20,8 +20,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm.common import in_rows, mixed, stored, table, text_bytes
-from candlewick.llm.suffixes import _unpacked, _with_texts
+from candlewick.llm.common import in_rows, mixed, stored, table, text_bytes, unpacked
+from candlewick.llm.suffixes import _with_texts
 
 LEAST, MOST, CUT_BITS = 32, 256, 5
 LEAST_RUN = 100
@@ -109,7 +109,7 @@ def without_copied_chunks(docs: DataFrame) -> DataFrame:
         for batch in in_rows(batches, ["doc_id", "packed", "at"]):
             rows = []
             for doc_id, packed, at in zip(batch["doc_id"], batch["packed"], batch["at"]):
-                data, begin, parts = _unpacked(packed), 0, []
+                data, begin, parts = unpacked(packed), 0, []
                 places = np.array([] if at is None else [x["place"] for x in at], np.int64)
                 later = np.array([] if at is None else [x["later"] for x in at], bool)
                 for a, b in removed_runs(places, later, len(data)):

@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from candlewick.llm.common import in_rows, mixed, release, remainder, stored, table, text_bytes
+from candlewick.llm.common import in_rows, mixed, packed_text, release, remainder, stored, table, text_bytes, unpacked
 
 FEATURES = 1 << 20
 FIT_ROWS = 8_000
@@ -52,9 +52,9 @@ def _grams(data: np.ndarray, n: int, kind: int) -> np.ndarray:
     return code
 
 
-def features(text: str | None) -> np.ndarray:
+def features(text: str | bytes | None) -> np.ndarray:
     """Distinct feature numbers of a whole text, ascending."""
-    raw = text_bytes(text)
+    raw = text if isinstance(text, bytes) else text_bytes(text)
     data = np.frombuffer(raw, np.uint8)
     shape = _SHAPE[data]
     shape = shape[np.append(True, shape[1:] != shape[:-1])[: len(shape)]]
@@ -94,12 +94,13 @@ def labelled_features(docs: DataFrame, labels: DataFrame, label: str) -> DataFra
     """(doc_id, y, at) of the training rows, stored."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in in_rows(batches, ["doc_id", "y", "text"]):
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "at": [features(x) for x in batch["text"]]})
+        for batch in in_rows(batches, ["doc_id", "y", "packed"]):
+            at = [features(unpacked(x)) for x in batch["packed"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "at": at})
 
     train = labels.select(F.col("doc_id"), F.col(label).alias("y")).where(F.col("y").isin(0, 1)).where(
         remainder(F.col("doc_id"), 3) != 1)
-    kept = docs.select("doc_id", "text").where(remainder(F.col("doc_id"), 3) != 1)
+    kept = docs.where(remainder(F.col("doc_id"), 3) != 1).select("doc_id", packed_text("text").alias("packed"))
     return stored(kept.join(train, "doc_id").mapInPandas(run, "doc_id long, y int, at array<int>"), "quality-train")
 
 

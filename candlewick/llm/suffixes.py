@@ -26,10 +26,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import zstandard
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm.common import in_rows, mixed, release, signed, stored, table, text_bytes
+from candlewick.llm.common import in_rows, mixed, packed_text, release, signed, stored, table, text_bytes, unpacked
 
 WINDOW = 200
 GRAM = 32
@@ -136,20 +135,10 @@ def anchors(docs: DataFrame) -> DataFrame:
         run, "doc_id long, t int, place long, gram long, context long, number int")
 
 
-@F.pandas_udf(T.BinaryType())
-def _packed(texts: pd.Series) -> pd.Series:
-    pack = zstandard.ZstdCompressor(level=1).compress
-    return pd.Series([pack(text_bytes(text)) for text in texts], index=texts.index, dtype=object)
-
-
-def _unpacked(packed: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(packed)
-
-
 def _with_texts(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
     """`rows` (doc_id, t, at) beside the texts of their documents, packed for the shuffle, and the other columns in `row`."""
     others = [F.col(name) for name in docs.columns if name not in ("doc_id", "text")] or [F.lit(None).alias("none")]
-    texts = docs.select("doc_id", F.hash("text").alias("t"), _packed("text").alias("packed"), F.struct(*others).alias("row"))
+    texts = docs.select("doc_id", F.hash("text").alias("t"), packed_text("text").alias("packed"), F.struct(*others).alias("row"))
     return texts.alias("d").join(
         rows.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.t") == F.col("r.t")), how
     ).select("d.doc_id", "d.t", "packed", "at", "row")
@@ -163,7 +152,7 @@ def contexts(docs: DataFrame, members: DataFrame) -> DataFrame:
         for batch in in_rows(batches, ["doc_id", "t", "packed", "at"]):
             rows = []
             for doc_id, t, packed, at in zip(batch["doc_id"], batch["t"], batch["packed"], batch["at"]):
-                data = _unpacked(packed)
+                data = unpacked(packed)
                 for member in sorted(at, key=lambda m: m["place"]):
                     place = member["place"]
                     anchor, least, greatest = place >> 16, place >> 8 & 255, place & 255
@@ -312,7 +301,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         for batch in in_rows(batches, ["doc_id", "packed", "at"]):
             rows = []
             for doc_id, packed, at in zip(batch["doc_id"], batch["packed"], batch["at"]):
-                data = _unpacked(packed)
+                data = unpacked(packed)
                 spans = np.zeros(0, np.int64) if at is None else np.asarray(at, np.int64)
                 rows.append((doc_id, len(data), *kept_bytes(data, spans)))
             out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "kept", "n_removed", "n_spans"])
@@ -329,7 +318,7 @@ def cleaned_documents(docs: DataFrame) -> DataFrame:
     @F.pandas_udf("string")
     def kept(packed: pd.Series, at: pd.Series) -> pd.Series:
         return pd.Series([
-            kept_bytes(_unpacked(x), np.zeros(0, np.int64) if y is None else np.asarray(y, np.int64))[0].decode(errors="ignore")
+            kept_bytes(unpacked(x), np.zeros(0, np.int64) if y is None else np.asarray(y, np.int64))[0].decode(errors="ignore")
             for x, y in zip(packed, at)], index=packed.index)
 
     listed = repeated_spans(docs).groupBy("doc_id", "t").agg(F.collect_list("span").alias("at"))
