@@ -101,7 +101,8 @@ def labelled_features(docs: DataFrame, labels: DataFrame, label: str) -> DataFra
     train = labels.select(F.col("doc_id"), F.col(label).alias("y")).where(F.col("y").isin(0, 1)).where(
         remainder(F.col("doc_id"), 3) != 1)
     kept = docs.where(remainder(F.col("doc_id"), 3) != 1).select("doc_id", packed_text("text").alias("packed"))
-    return stored(kept.join(train, "doc_id").mapInPandas(run, "doc_id long, y int, at array<int>"), "quality-train")
+    # Labels grow with the documents: both sides are sorted at any size, none is broadcast.
+    return stored(kept.join(train.hint("merge"), "doc_id").mapInPandas(run, "doc_id long, y int, at array<int>"), "quality-train")
 
 
 def class_counts(train: DataFrame) -> np.ndarray:
