@@ -39,8 +39,8 @@ PROBES = 4
 BITS_PER_ENTRY = 10.0
 FILTER_BYTES = 256 << 20
 HEAD_WORDS = 500_000
-FLUSH = 3_000_000
-_words = WordHashes(SEED)
+FLUSH = 1_500_000
+_words = WordHashes(SEED, 200_000)
 
 _LOW = np.maximum.accumulate(np.floor(BASE ** np.arange(LEVELS))).astype(float)  # least count of each level
 
@@ -242,9 +242,8 @@ def train(docs: DataFrame, order: int = ORDER, segments: int | None = None, most
                 yield pd.DataFrame({"segment": [s], "data": [data.tobytes()],
                                     "head": [words[common].tobytes()], "head_counts": [counts[common].tobytes()]})
 
-    spread = parts.select("segment", "entries", "levels", "words", "word_counts").repartitionById(
-        segments, F.col("segment"))
-    built = stored(spread.mapInPandas(build, "segment int, data binary, head binary, head_counts binary"), "lm-filter")
+    built = stored(parts.select("segment", "entries", "levels", "words", "word_counts").mapInPandas(
+        build, "segment int, data binary, head binary, head_counts binary"), "lm-filter")
     parts_of = built.select("segment", F.length("head").alias("n_head")).toPandas()
     heads = np.zeros(segments, np.int64)
     heads[parts_of["segment"].to_numpy(int)] = np.cumsum([0, *parts_of["n_head"]])[:-1] // 8
@@ -280,7 +279,7 @@ def scored(docs: DataFrame, model: Model, rare: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = sent.value
-        for batch in in_rows(batches, ["doc_id", "text"], 512):
+        for batch in in_rows(batches, ["doc_id", "text"]):
             scores, sizes, exact, words = m.score([grams(text, m.order) for text in batch["text"]])
             cuts = np.cumsum(sizes)[:-1]
             known = exact >= 0
