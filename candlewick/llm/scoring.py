@@ -36,10 +36,10 @@ END, BEGIN = np.uint64(0x656E64), np.uint64(0x626567)
 BASE = 1.5  # ratio of neighbouring count levels
 LEVELS = 120
 PROBES = 4
-BITS_PER_ENTRY = 10.0
+BITS_PER_ENTRY = 8.0
 FILTER_BYTES = 256 << 20
 HEAD_WORDS = 500_000
-FLUSH = 1_500_000
+FLUSH = 1_000_000
 _words = WordHashes(SEED, 200_000)
 
 _LOW = np.maximum.accumulate(np.floor(BASE ** np.arange(LEVELS))).astype(float)  # least count of each level
