@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from candlewick.llm.common import encoder, in_rows, stored, table, tokenizer_path
@@ -64,8 +65,8 @@ def length_patterns(lengths: np.ndarray, longest: int) -> np.ndarray:
         second = np.arange(max(first, 1), (longest - first) // 2 + 1)
         third = longest - first - second
         fits = present[second] & present[third]
-        found.append(np.stack([np.full(fits.sum(), first), second[fits], third[fits]], 1))
-    return np.concatenate(found) if found else np.zeros((0, 3), int)
+        found.append(np.stack([np.full(fits.sum(), first), second[fits], third[fits]], 1).astype(np.int32))
+    return np.concatenate(found) if found else np.zeros((0, 3), np.int32)
 
 
 def fitted_counts(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -73,13 +74,15 @@ def fitted_counts(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS
 
     Multiplicative updates: x <- x * (A'h) / (A'Ax) keep x non-negative and lower the squared error in each round.
     """
-    used = (patterns > 0).astype(float)
     h = counts.astype(float)
-    wanted = (h[patterns] * used).sum(1)
-    x = np.where((h[patterns] > 0) | (patterns == 0), 1.0, 0.0).all(1) * wanted / max(wanted.max(initial=0), 1.0)
+    h[0] = 0.0  # the missing part of a pair
+    parts = [patterns[:, i] for i in range(patterns.shape[1])]
+    wanted = sum(h[part] for part in parts)
+    x = wanted / max(wanted.max(initial=0), 1.0)
     for _ in range(rounds):
-        now = np.bincount(patterns.ravel(), weights=(x[:, None] * used).ravel(), minlength=len(h))
-        x *= wanted / np.maximum((now[patterns] * used).sum(1), 1e-12)
+        now = sum(np.bincount(part, weights=x, minlength=len(h)) for part in parts)
+        now[0] = 0.0
+        x *= wanted / np.maximum(sum(now[part] for part in parts), 1e-12)
     return x
 
 
@@ -175,9 +178,8 @@ def packed(pieces: DataFrame, longest: int = SEQUENCE) -> DataFrame:
     histogram = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
     plan = packing_plan({row.length: row.n for row in histogram.collect()}, longest)
     names = ["slot_length", "first", "last", "m", "sequence", "at"]
-    slots = spark.createDataFrame(
-        pd.DataFrame(np.array(plan, np.int64).reshape(-1, 6), columns=names), ", ".join(f"{name} long" for name in names)
-    )
+    columns = np.array(plan, np.int64).reshape(-1, 6).T
+    slots = spark.createDataFrame(pa.table(dict(zip(names, columns))))
     slots = stored(slots, "pack-slots").withColumn(
         "block", F.explode(F.sequence(F.floor(F.col("first") / BLOCK), F.floor((F.col("last") - 1) / BLOCK)))
     )

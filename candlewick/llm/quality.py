@@ -118,9 +118,9 @@ def class_counts(train: DataFrame) -> np.ndarray:
         yield pd.DataFrame({"at": at, "n0": counts[0, at], "n1": counts[1, at]})
 
     summed = train.select("y", "at").mapInPandas(run, "at int, n0 long, n1 long").groupBy("at").agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()  # at most FEATURES + 1 rows
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()  # at most FEATURES + 1 rows
     counts = np.zeros((2, FEATURES + 1))
-    counts[:, summed["at"].to_numpy(int)] = summed[["n0", "n1"]].to_numpy(float).T
+    counts[:, summed["at"].to_numpy()] = summed["n0"].to_numpy(), summed["n1"].to_numpy()
     return counts
 
 
@@ -165,9 +165,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     share = min(1.0, fit_rows / n.sum())
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
     # About `fit_rows` rows reach the driver; the limit only acts if many rows have one id.
-    sample = rows.where(spread).select("y", "at").limit(fit_rows + fit_rows // 4).toPandas()
+    sample = rows.where(spread).select("y", "at").limit(fit_rows + fit_rows // 4).toArrow()
     release(rows)
-    at = [np.asarray(x, np.int32) for x in sample["at"]]
+    at = [np.asarray(x, np.int32) for x in sample["at"].to_numpy()]
     return fitted_model(ratio, at, sample["y"].to_numpy() * 2 - 1)
 
 
