@@ -75,7 +75,7 @@ def with_following(docs: DataFrame, parts: int) -> DataFrame:
     spark, docs = docs.sparkSession, docs.select("doc_id", "text")
     steps = [i / parts for i in range(1, parts)]
     found = docs.select(F.percentile_approx(F.col("doc_id").cast("double"), steps, 10_000)).first()[0] if steps else None
-    bounds = sorted(set(found or []))
+    bounds = sorted(set(found or [0.0]))  # an empty table needs some bound, too
     cuts = Bucketizer(splits=[-float("inf"), *bounds, float("inf")], inputCol="_id", outputCol="_low", handleInvalid="keep")
     ranged = cuts.transform(docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("nan")))))
     last = len(bounds)
