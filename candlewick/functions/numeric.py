@@ -6,9 +6,12 @@ from pyspark.sql import Column, functions as F
 
 
 def round_half_up(value: Column, digits: int) -> Column:
-    """Round a double with plain double arithmetic: floor(x * 10^d + 0.5) / 10^d."""
+    """Round a double with plain double arithmetic: floor(x * 10^d + 0.5) / 10^d.
+
+    Spark's floor returns a long; from 2^52 on a double has no fraction to cut, so it is left out there. NaN stays NaN."""
     scale = float(10**digits)
-    return F.floor(value * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    scaled = value * F.lit(scale) + F.lit(0.5)
+    return F.when(F.abs(scaled) < float(1 << 52), F.floor(scaled).cast("double")).otherwise(scaled) / F.lit(scale)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

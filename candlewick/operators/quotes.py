@@ -101,13 +101,10 @@ def purge_stale(state: DataFrame, as_of: Column, seconds: int = ACTIVE_SECONDS)
     return state.filter(F.col("event_time") >= _age_limit(as_of, seconds))
 
 
-def market_summary(
-    state: DataFrame, as_of: Column, seconds: int = ACTIVE_SECONDS, limit_symbols: int | None = None
-) -> DataFrame:
+def market_summary(state: DataFrame, as_of: Column, seconds: int = ACTIVE_SECONDS) -> DataFrame:
     """Active count, volume, mean change rate and number of risers and fallers among the active symbols.
 
-    A missing change rate is derived from price and previous close. `limit_symbols` restricts volume and rates to
-    the first symbols in name order.
+    A missing change rate is derived from price and previous close.
     """
     active = alive(state, as_of, seconds)
     derived = F.when(
@@ -115,18 +112,13 @@ def market_summary(
     )
     rate = F.coalesce("change_rate", derived)
     measured = active.withColumn("rate", rate)
-    totals = measured if limit_symbols is None else measured.orderBy("symbol").limit(limit_symbols)
-    figures = totals.agg(
+    return measured.agg(
         F.count(F.lit(1)).alias("active_symbols_count"),
         F.coalesce(F.sum("volume"), F.lit(0)).alias("total_volume"),
         F.coalesce(round_half_up(F.avg("rate"), 2), F.lit(0.0)).alias("average_change_rate"),
         F.count_if(F.col("rate") > 0).alias("positive_count"),
         F.count_if(F.col("rate") < 0).alias("negative_count"),
     )
-    if limit_symbols is None:
-        return figures
-    count = active.agg(F.count(F.lit(1)).alias("n"))
-    return figures.withColumn("active_symbols_count", count.scalar())
 
 
 # ---- cleaning and fallback -----------------------------------------------------------------------------------

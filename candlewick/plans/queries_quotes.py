@@ -140,11 +140,6 @@ _both("market_summary", SUMMARY, SUMMARY_SQL + "rated", "latest", RATED)(
 )
 
 
-@register("market_summary_first_20", SUMMARY, SUMMARY_SQL + "(SELECT * FROM rated ORDER BY symbol LIMIT 20)", "latest", RATED)
-def market_summary_first_20(spark, folder):
-    return q.market_summary(latest(spark, folder), as_of(quotes(spark, folder)), DAY_SECONDS, limit_symbols=20)
-
-
 # ---- signals --------------------------------------------------------------------------------------------------
 
 INDICATORS = (

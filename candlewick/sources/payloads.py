@@ -42,13 +42,14 @@ def _figure(text: Column) -> Column:
 
 
 def bars_from_history(history: DataFrame, symbol: Column | None = None) -> DataFrame:
-    """Vendor history (Date, Open, ..) to bars: lower-case names, spaces to underscores, seven columns, no nulls."""
+    """Vendor history (Date, Open, ..) to bars: lower-case names, spaces to underscores, seven columns, no nulls.
+    A row with an unreadable date or volume is left out."""
     named = history.toDF(*[name.lower().replace(" ", "_") for name in history.columns])
     if symbol is not None:
         named = named.withColumn("symbol", symbol)
     return (
-        named.withColumn("date", F.to_date("date"))
-        .withColumn("volume", F.col("volume").cast("bigint"))
+        named.withColumn("date", F.col("date").try_cast("date"))
+        .withColumn("volume", F.col("volume").try_cast("bigint"))
         .select(*BAR_COLUMNS)
         .na.drop()
     )

@@ -38,14 +38,10 @@ def latest_quotes_job(messages: DataFrame, root: str, checkpoint: str, seconds:
 def signals_job(
     messages: DataFrame, bars: DataFrame, root: str, checkpoint: str, seconds: int | None = 30
 ) -> StreamingQuery:
-    """Indicators and score of each symbol's newest quote in the batch.
-
-    The newest quotes are used twice, to pick the bars and to be scored, so the batch keeps them in the block
-    store; a lost block is rebuilt from the batch's messages.
-    """
+    """Indicators and score of each symbol's newest quote in the batch."""
 
     def reduce(batch: DataFrame) -> DataFrame:
-        newest = q.latest_quotes(q.read_quotes(batch)).select("symbol", "price", "event_time", "offset").persist()
+        newest = q.latest_quotes(q.read_quotes(batch)).select("symbol", "price", "event_time", "offset")
         return quote_signals(newest, bars, few_quotes=True)
 
     return partials.sink(messages, reduce, root, checkpoint, seconds)
