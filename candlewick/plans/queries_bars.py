@@ -170,14 +170,14 @@ def typed_bars(spark, folder):
 
 @register(
     "incremental_new_bars", BAR,
-    """SELECT * FROM bars WHERE NOT (date >= DATE '2000-12-31' - 1825 AND date <= DATE '2000-06-30')""",
+    "SELECT * FROM bars WHERE date > DATE '2000-06-30'",
     "bars",
 )
 def incremental_new_bars(spark, folder):
-    """Delivery of all bars against a store that ends on 2000-06-30, looking back 1,825 days."""
+    """Delivery of all bars against a store that ends on 2000-06-30."""
     everything = bars(spark, folder)
     stored = everything.filter(F.col("date") <= F.lit("2000-06-30").cast("date"))
-    return clean.new_bars(everything, stored, "2000-12-31")
+    return clean.new_bars(everything, stored)
 
 
 @register(
@@ -232,7 +232,7 @@ def ingest_audit(spark, folder):
     everything = bars(spark, folder)
     raw = everything.withColumn("close", F.when(F.col("open") <= F.col("close"), F.col("close")))
     stored = everything.filter(F.col("date") <= F.lit("2000-06-30").cast("date"))
-    return clean.ingest_audit(raw, stored, "2001-12-31", look_back_days=3650)
+    return clean.ingest_audit(raw, stored)
 
 
 @register(
