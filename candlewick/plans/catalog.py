@@ -32,14 +32,14 @@ COMMON: dict[str, tuple[tuple[str, ...], str]] = {
                arg_min(price, k) AS open, max(price) AS high, min(price) AS low, arg_max(price, k) AS close,
                CAST(sum(l_quantity) AS BIGINT) AS volume
         FROM (SELECT l_suppkey, l_shipdate, l_quantity, l_extendedprice / l_quantity AS price,
-                     l_orderkey * 8388608 + l_linenumber * 1048576 + l_partkey % 1048576 AS k FROM lineitem)
+                     row(l_orderkey, l_linenumber, l_partkey) AS k FROM lineitem)
         GROUP BY l_suppkey, CAST(l_shipdate AS DATE)"""),
     "weekly": ((), """
         SELECT n_name AS symbol, CAST(date_trunc('week', l_shipdate) AS DATE) AS date,
                arg_min(price, k) AS open, max(price) AS high, min(price) AS low, arg_max(price, k) AS close,
                CAST(sum(l_quantity) AS BIGINT) AS volume
         FROM (SELECT l_suppkey, l_shipdate, l_quantity, l_extendedprice / l_quantity AS price,
-                     l_orderkey * 8388608 + l_linenumber * 1048576 + l_partkey % 1048576 AS k FROM lineitem)
+                     row(l_orderkey, l_linenumber, l_partkey) AS k FROM lineitem)
         JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
         GROUP BY n_name, CAST(date_trunc('week', l_shipdate) AS DATE)"""),
     "symbols": ((), """

@@ -5,6 +5,8 @@ Every function is one declarative plan over its input, so the derived tables gro
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from candlewick.functions.numeric import round_half_up
@@ -19,11 +21,12 @@ def _price() -> Column:
 
 
 def _trade_order() -> Column:
-    """Trade order within a day as one long (order key below 2^40), which keeps min_by/max_by hash-aggregable."""
+    """Trade order within a day: order, line (below 100) and part key (below 10^12) as one decimal of fixed width,
+    which keeps min_by/max_by hash-aggregable."""
     return (
-        F.col("l_orderkey") * F.lit(2**23)
-        + F.col("l_linenumber") * F.lit(2**20)
-        + F.pmod(F.col("l_partkey"), F.lit(2**20))
+        F.col("l_orderkey").cast("decimal(19,0)") * F.lit(Decimal(10**14))
+        + F.col("l_linenumber").cast("decimal(2,0)") * F.lit(Decimal(10**12))
+        + F.col("l_partkey").cast("decimal(12,0)")
     )
 
 
