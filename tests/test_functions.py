@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.caps import cap_billions, cap_tier, tier_name
 from candlewick.functions.hashing import shard_number
+from candlewick.functions.numeric import round_half_up
 from candlewick.functions.text import alert_color, alert_title, strength_text
 
 CAPS = [
@@ -59,3 +60,9 @@ def test_display_text(spark):
     assert list(row) == [
         "[price] AAPL: $12,345.68 (-1.50%)", "#36a64f", "#d72b3f", "#9e9ea6", "1.004", "1.006", "N/A", "N/A",
     ]
+
+
+def test_rounding_keeps_large_values_and_nan(spark):
+    rows = spark.createDataFrame([(1e14,), (1e300,), (2.5,), (float("nan"),), (None,)], "x double")
+    found = [row.r for row in rows.select(round_half_up(F.col("x"), 6).alias("r")).collect()]
+    assert found[:3] == [1e14, 1e300, 2.5] and found[3] != found[3] and found[4] is None

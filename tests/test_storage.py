@@ -177,3 +177,11 @@ def test_daily_job(spark, tmp_path):
     daily.store_watchlist(stored, symbols, list_root, str(days[1]))
     after = {r["date"]: r["created_at"] for r in snapshots.read_snapshot(spark, list_root).collect()}
     assert after == before  # a rescan keeps the time of the first entry
+
+
+def test_daily_store_keeps_keys_unique(spark, tmp_path):
+    root = str(tmp_path / "unique")
+    delivery = spark.createDataFrame([bar("A", -2000, 1.0), bar("A", 0, 1.0), bar("A", 0, 2.0)], BARS)
+    daily.store_bars(delivery, root, DAY)
+    daily.store_bars(delivery, root, DAY)
+    assert sorted(row.close for row in snapshots.read_snapshot(spark, root).collect()) == [1.0, 2.0]
