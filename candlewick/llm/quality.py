@@ -5,7 +5,8 @@ other signs, runs counted once) and pairs of words that repeat side by side or t
 the indicators; a linear hinge-loss model is then fitted on the scaled rows by dual coordinate descent.
 
 The ratios come from all training rows: per-task counts are summed per feature, so what is gathered is bounded by
-`FEATURES`. The linear model is fitted on about `FIT_ROWS` of them, chosen by a hash of their ids (a documented bound). Both together are the model, two arrays of `FEATURES` numbers, which is what workers get.
+`FEATURES`. The linear model is fitted on about `FIT_ROWS` of them, chosen by a hash of their ids (a
+documented bound). Both together are the model, two arrays of `FEATURES` numbers, which is what workers get.
 
 The score is a logistic curve of the margin, fitted on the same rows; 0.5 is where the curve separates the classes.
 
