@@ -5,7 +5,7 @@ other signs, runs counted once) and pairs of words that repeat side by side or t
 the indicators; a linear hinge-loss model is then fitted on the scaled rows by dual coordinate descent.
 
 The ratios come from all training rows: per-task counts are summed per feature, so what is gathered is bounded by
-`FEATURES`. The linear model is fitted on about `FIT_ROWS` of them, chosen by a hash of their ids (a
+`FEATURES`. The linear model is fitted in one task on about `FIT_ROWS` of them, chosen by a hash of their ids (a
 documented bound). Both together are the model, two arrays of `FEATURES` numbers, which is what workers get.
 
 The score is a logistic curve of the margin, fitted on the same rows; 0.5 is where the curve separates the classes.
@@ -129,11 +129,11 @@ def dual_descent(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, epoch
     """Weights and bias of a linear hinge-loss model on unit rows of `scale`, by dual coordinate descent."""
     w, b = np.zeros(len(scale)), 0.0
     alpha, rng = np.zeros(len(rows)), np.random.default_rng(3)
-    values = [scale[at] / max(np.sqrt((scale[at] ** 2).sum()), 1e-12) for at in rows]
-    square = np.array([(v * v).sum() + 1 for v in values])
+    length = [max(np.sqrt((scale[at] ** 2).sum()), 1e-12) for at in rows]
+    square = np.array([((scale[at] / l) ** 2).sum() + 1 for at, l in zip(rows, length)])
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            at, v = rows[i], values[i]
+            at, v = rows[i], scale[rows[i]] / length[i]
             gradient = y[i] * (w[at] @ v + b) - 1
             new = min(max(alpha[i] - gradient / square[i], 0.0), cost[i])
             if new != alpha[i]:
@@ -165,11 +165,26 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     ratio = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
     share = min(1.0, fit_rows / n.sum())
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
-    # About `fit_rows` rows reach the driver; the limit only acts if many rows have one id.
-    sample = rows.where(spread).select("y", "at").limit(fit_rows + fit_rows // 4).toArrow()
+    # About `fit_rows` rows meet in one task; the limit only acts if many rows have one id.
+    sample = rows.where(spread).select("y", "at").limit(fit_rows + fit_rows // 4)
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        y, at = [], []
+        for batch in batches:
+            y += batch["y"].tolist()
+            at += batch["at"].tolist()
+        model = fitted_model(ratio, at, np.array(y, np.int64) * 2 - 1)
+        yield pd.DataFrame({"weights": [model.weights.tobytes()], "bias": model.bias, "slope": model.slope,
+                            "offset": model.offset, "fitted": bool(model.ratio.any())})
+
+    # The driver gets the fitted numbers, never the sample.
+    out = sample.mapInPandas(fit, "weights binary, bias double, slope double, offset double, fitted boolean").toArrow()
     release(rows)
-    at = [np.asarray(x, np.int32) for x in sample["at"].to_numpy()]
-    return fitted_model(ratio, at, sample["y"].to_numpy() * 2 - 1)
+    found = out.to_pylist()
+    if not any(row["fitted"] for row in found):
+        return no_model()
+    row = found[0]
+    return Model(ratio, np.frombuffer(row["weights"]), row["bias"], row["slope"], row["offset"])
 
 
 def fitted_model(ratio: np.ndarray, rows: list[np.ndarray], y: np.ndarray) -> Model:
