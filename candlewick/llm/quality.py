@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from candlewick.llm.common import in_rows, mixed, packed_text, release, remainder, stored, table, text_bytes, unpacked
+from candlewick.llm.common import forget_encoders, in_rows, mixed, packed_text, release, remainder, stored, table, text_bytes, unpacked
 
 FEATURES = 1 << 20
 FIT_ROWS = 8_000
@@ -95,6 +95,7 @@ def labelled_features(docs: DataFrame, labels: DataFrame, label: str) -> DataFra
     """(doc_id, y, at) of the training rows, stored."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_encoders()
         for batch in in_rows(batches, ["doc_id", "y", "packed"]):
             at = [features(unpacked(x)) for x in batch["packed"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "at": at})

@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm.common import in_rows, signed, stored, table, text_bytes
+from candlewick.llm.common import forget_encoders, in_rows, signed, stored, table, text_bytes
 from candlewick.llm.components import components, local_labels
 
 SHINGLE = 3
@@ -57,6 +57,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, t, f): the text's hash and the fingerprint as a signed long."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_encoders()
         for batch in in_rows(batches, ["doc_id", "t", "text"], 4096):
             values = np.array([fingerprint(text, shingle) for text in batch["text"]], np.uint64)
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "t": batch["t"], "f": signed(values)})

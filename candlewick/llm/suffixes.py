@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm.common import in_rows, mixed, packed_text, release, signed, stored, table, text_bytes, unpacked
+from candlewick.llm.common import forget_encoders, in_rows, mixed, packed_text, release, signed, stored, table, text_bytes, unpacked
 
 WINDOW = 200
 GRAM = 32
@@ -117,6 +117,7 @@ def document_anchors(data: np.ndarray, piece: int = PIECE) -> tuple[np.ndarray,
 
 def anchors(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_encoders()
         for batch in in_rows(batches, ["doc_id", "t", "text"]):
             found, which = [], []
             for i, text in enumerate(batch["text"]):
