@@ -199,11 +199,6 @@ def encoder(path: str, cut: str) -> Encoder:
     return _encoders[path, cut]
 
 
-def forget_encoders() -> None:
-    """Give back what an earlier tokenising stage left in this worker process: up to 250 MB."""
-    _encoders.clear()
-
-
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
