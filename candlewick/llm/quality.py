@@ -166,14 +166,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     share = min(1.0, fit_rows / n.sum())
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
     # About `fit_rows` rows meet in one task; the limit only acts if many rows have one id.
-    sample = rows.where(spread).select("y", "at").limit(fit_rows + fit_rows // 4)
+    sample = rows.where(spread).select("doc_id", "y", "at").limit(fit_rows + fit_rows // 4)
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        y, at = [], []
-        for batch in batches:
-            y += batch["y"].tolist()
-            at += batch["at"].tolist()
-        model = fitted_model(ratio, at, np.array(y, np.int64) * 2 - 1)
+        held = [row for batch in batches for row in zip(batch["doc_id"], batch["y"], batch["at"])]
+        held.sort(key=lambda row: (row[0], row[1], row[2].tobytes()))  # the fit depends on the order: reruns agree
+        model = fitted_model(ratio, [at for _, _, at in held], np.array([y for _, y, _ in held], np.int64) * 2 - 1)
         yield pd.DataFrame({"weights": [model.weights.tobytes()], "bias": model.bias, "slope": model.slope,
                             "offset": model.offset, "fitted": bool(model.ratio.any())})
 
