@@ -7,6 +7,7 @@ through one `Windows` collector; EMA, MACD in a recursive mode and the parabolic
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from inspect import signature
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -158,11 +159,11 @@ TYPES: dict[str, Callable[..., Term]] = {
     "EMA": core.ema_blend,
     "RSI": core.rsi,
     "CCI": core.cci,
-    "OBV": core.obv,
+    "OBV": lambda windows, period=None: core.obv(windows),
     "BB_UPPER": _band("bb_upper"),
     "BB_MIDDLE": _band("bb_middle"),
     "BB_LOWER": _band("bb_lower"),
-    "MACD": lambda windows, fast=12, slow=26: core.macd_blend(windows, fast, slow)["macd"],
+    "MACD": lambda windows, fast=12, slow=26, signal=9: core.macd_blend(windows, fast, slow, signal)["macd"],
     "STOCH_K": stoch_k,
     "STOCH_D": stoch_d,
     "WILLIAMS_R": williams_r,
@@ -185,7 +186,8 @@ TYPES: dict[str, Callable[..., Term]] = {
 def registry_table(bars: DataFrame, entries: Iterable[tuple[str, str, dict]]) -> DataFrame:
     """(symbol, date) and one column per registry entry. An unknown type becomes a NULL column.
 
-    EMA and MACD take `mode` = `blend` (default), `recursive` or `adjusted`.
+    EMA and MACD take `mode` = `blend` (default), `recursive` or `adjusted`. `period` of an OBV or A/D line and
+    `signal` of a MACD line change nothing; any other parameter a type does not have is an error naming the entry.
     """
     windows = Windows()
     outputs: dict[str, Term] = {}
@@ -201,10 +203,13 @@ def registry_table(bars: DataFrame, entries: Iterable[tuple[str, str, dict]]) ->
         elif kind == "EMA" and mode != "blend":
             averages.setdefault(mode, {})[name] = parameters["period"]
         elif kind == "MACD" and mode != "blend":
-            periods = (parameters.get("fast", 12), parameters.get("slow", 26), 9)
+            periods = (parameters.get("fast", 12), parameters.get("slow", 26), parameters.get("signal", 9))
             hidden = (name, f"__{name}_signal", f"__{name}_histogram")
             grouped.append((with_ema, {"macd": periods, "mode": mode, "macd_names": hidden}))
         elif kind in TYPES:
+            unknown = sorted(set(parameters) - set(list(signature(TYPES[kind]).parameters)[1:]))
+            if unknown:
+                raise ValueError(f"entry {name}: {kind} has no parameter {', '.join(unknown)}")
             outputs[name] = TYPES[kind](windows, **parameters)
         else:
             outputs[name] = Term(F.lit(None).cast("double"))

@@ -7,7 +7,7 @@ messages still sends one row per key and input split. The same functions serve b
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from candlewick.functions.caps import cap_tier
 from candlewick.functions.numeric import round_half_up
@@ -34,9 +34,22 @@ def parse_messages(messages: DataFrame, schema: StructType = QUOTE_MESSAGE) -> D
     `inline` turns the parsed struct into columns once, so a filter on them cannot be pushed below the parse and
     repeat it per field.
     """
-    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE"})
+    as_text = StructType([StructField(field.name, StringType()) for field in schema.fields])
+    parsed = F.from_json("value", as_text, {"mode": "PERMISSIVE"})
     rows = messages.select("topic", "event_time", "offset", F.inline(F.array(parsed)))
-    return rows.withColumn("readable", F.col("symbol").isNotNull())
+    return rows.select(
+        "topic", "event_time", "offset", *[_typed(field).alias(field.name) for field in schema.fields],
+        F.col("symbol").isNotNull().alias("readable"),
+    )
+
+
+def _typed(field: StructField) -> Column:
+    """A field read as text in its own type: senders write numbers with or without quotes, and volumes with a fraction,
+    which is cut. Text that is no number is NULL."""
+    text = F.col(field.name)
+    if isinstance(field.dataType, LongType):
+        return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    return text if isinstance(field.dataType, StringType) else text.try_cast(field.dataType)
 
 
 def reconcile(parsed: DataFrame) -> DataFrame:
@@ -53,8 +66,8 @@ def reconcile(parsed: DataFrame) -> DataFrame:
 
 
 def usable(quotes: DataFrame) -> DataFrame:
-    """Quotes with a symbol and a price other than zero."""
-    return quotes.filter((F.col("symbol") != "") & (F.col("price") != 0))
+    """Quotes with a symbol and a price that is a number other than zero."""
+    return quotes.filter((F.col("symbol") != "") & (F.col("price") != 0) & ~F.isnan("price"))
 
 
 # The message fields a quote is made of; the parser skips all others.

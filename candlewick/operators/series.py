@@ -74,18 +74,23 @@ class Windows:
         return self.over(f"{name}_sum_{rows}", F.sum, trailing(rows), term)
 
     def mean(self, name: str, term: Term, rows: int) -> Term:
-        """Mean of the last `rows` values (fewer at the start of a series). Beyond `LONGEST_FRAME` rows the
-        values must not be NULL, since the divisor is then the row count."""
+        """Mean of the values that are not NULL among the last `rows` rows (fewer at the start of a series); NULL
+        without any. Beyond `LONGEST_FRAME` rows it is put together from lagged sums, and from a running count."""
         block = max((n for n in range(1, min(rows, LONGEST_FRAME) + 1) if rows % n == 0), default=rows)
         if rows <= LONGEST_FRAME or block == 1:
             return self.over(f"{name}_mean_{rows}", F.avg, trailing(rows), term)
         part = self.total(name, term, block)
         parts = [part] + [
-            self.lag(f"{name}_sum_{block}", part, block * i, 0.0) for i in range(1, rows // block)
+            self.lag(f"{name}_sum_{block}", part, block * i) for i in range(1, rows // block)
         ]
-        return combine(
-            lambda position, *sums: sum(sums[1:], sums[0]) / F.least(position, F.lit(rows)), self.position(), *parts
-        )
+        seen = self.over(f"{name}_seen", F.count, running(), term)
+        before = self.lag(f"{name}_seen", seen, rows, 0)
+
+        def build(seen: Column, before: Column, *sums: Column) -> Column:
+            known = [F.coalesce(value, F.lit(0.0)) for value in sums]
+            return F.when(seen > before, sum(known[1:], known[0]) / (seen - before))
+
+        return combine(build, seen, before, *parts)
 
     def deviation(self, name: str, term: Term, rows: int) -> Term:
         """Sample standard deviation of the last `rows` values; NULL on a single value."""

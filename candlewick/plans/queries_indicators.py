@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from candlewick.operators import declared, indicators as ind, recursive
 from candlewick.plans.catalog import BY_DATE, over, register
 from candlewick.plans.inputs import bars, weekly
@@ -34,8 +36,22 @@ def sma_all(spark, folder):
     return ind.sma_table(bars(spark, folder), SMA_PERIODS)
 
 
+GAP_PERIODS = (60, 61, 64, 120)
+
+
+@register(
+    "sma_gaps", KEY + " ".join(f"sma_{p}:4" for p in GAP_PERIODS),
+    f"""SELECT symbol, date, {', '.join(f'{_mean(p)} AS sma_{p}' for p in GAP_PERIODS)}
+        FROM (SELECT symbol, date, CASE WHEN volume % 3 = 0 THEN close END AS close FROM bars)""", "bars",
+)
+def sma_gaps(spark, folder):
+    """Means of closes of which two thirds are NULL, on both sides of the longest direct frame."""
+    gaps = bars(spark, folder).withColumn("close", F.when(F.col("volume") % 3 == 0, F.col("close")))
+    return ind.sma_table(gaps, GAP_PERIODS)
+
+
 @register(
-    "sma_strict", KEY + "sma_5:6 sma_20:6 sma_60:6",
+    "sma_strict",KEY + "sma_5:6 sma_20:6 sma_60:6",
     f"SELECT symbol, date, {', '.join(f'{_strict(p, _mean(p))} AS sma_{p}' for p in (5, 20, 60))} FROM bars", "bars",
 )
 def sma_strict(spark, folder):

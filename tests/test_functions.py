@@ -66,3 +66,31 @@ def test_rounding_keeps_large_values_and_nan(spark):
     rows = spark.createDataFrame([(1e14,), (1e300,), (2.5,), (float("nan"),), (None,)], "x double")
     found = [row.r for row in rows.select(round_half_up(F.col("x"), 6).alias("r")).collect()]
     assert found[:3] == [1e14, 1e300, 2.5] and found[3] != found[3] and found[4] is None
+
+
+def test_quotes_with_numbers_as_text(spark):
+    from candlewick.operators import quotes as q
+
+    bodies = [
+        '{"symbol": "A", "price": "12.5", "volume": "7"}', '{"symbol": "B", "price": 3, "volume": 1.5}',
+        '{"symbol": "C", "price": "NaN", "volume": 1}', '{"symbol": "D", "price": "none", "volume": 1}',
+        '{"symbol": "E", "price": 0, "volume": 1}', "{broken", '{"symbol": "F", "price": 2.5, "volume": 9007199254740993}',
+    ]
+    rows = spark.createDataFrame([("t", i, x) for i, x in enumerate(bodies)], "topic string, offset int, value string")
+    got = q.read_quotes(rows.selectExpr("topic", "timestamp '2024-01-01 00:00:00' AS event_time", "offset", "value"))
+    assert {(x.symbol, x.price, x.volume) for x in got.collect()} == {
+        ("A", 12.5, 7), ("B", 3.0, 1), ("F", 2.5, 9007199254740993)}
+
+
+def test_registry_parameters(spark):
+    import pytest
+
+    from candlewick.operators.declared import registry_table
+
+    bars = spark.sql(
+        "SELECT 'A' AS symbol, date_add(date '2024-01-01', CAST(id AS INT)) AS date, 1.0d AS open, 2.0d AS high, 1.0d AS low, "
+        "1.5d + id AS close, 10L AS volume FROM range(5)")
+    table = registry_table(bars, [("m", "MACD", {"signal": 5}), ("o", "OBV", {"period": 3})])
+    assert table.columns == ["symbol", "date", "m", "o"] and table.count() == 5
+    with pytest.raises(ValueError, match="entry x: RSI has no parameter weight"):
+        registry_table(bars, [("x", "RSI", {"weight": 3})])
