@@ -1,12 +1,13 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
 Counting: each task sums the n-grams of its documents and deals them by hash into segments; a segment's task sums what all
-tasks sent, and packs its part of the filter: an n-gram of quantised count level j is entered with levels 1 to j. A
-segment's part is sized by its own entries. The parts together are at most `FILTER_BYTES`, above which entries get fewer
-bits (and probes err more often), so the broadcast is bounded at any size of corpus. All bits of an entry stand in one
-64-bit word: a probe is one read.
+tasks sent, and packs its parts of the filter: an n-gram of quantised count level j is entered with levels 1 to j. An
+entry has `BITS_PER_ENTRY` bits and `PROBES` probes at any size of corpus; parts of about `PART_BYTES` grow in number with
+the entries. All bits of an entry stand in one 64-bit word: a probe is one read.
 
-Scoring: an n-gram's level is found by probing levels 1, 2, ... until one is absent. Probabilities are interpolated:
+Scoring: an n-gram's level is found by probing levels 1, 2, ... until one is absent. A filter of at most `FILTER_BYTES` is
+broadcast. A larger one stays where it is stored: the distinct keys of some texts go to the parts that hold them, and the
+levels come back to the texts. Both ways read the same parts and give the same scores. Probabilities are interpolated:
 
     p(w | h) = (c(hw) + k p(w | shorter h)) / (c(h) + k),   p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))
 
@@ -21,14 +22,18 @@ repeated ids are scored row by row; a null id is held out or not as the empty te
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm.common import MASK, WordHashes, in_rows, mixed, remainder, signed, stored, table, text_bytes
+from candlewick.llm.common import (
+    MASK, WordHashes, in_rows, mixed, remainder, signed, stored, table, text_bytes, unpacked,
+)
 
 ORDER = 2
 SEED = 29
@@ -37,7 +42,8 @@ BASE = 1.5  # ratio of neighbouring count levels
 LEVELS = 120
 PROBES = 4
 BITS_PER_ENTRY = 8.0
-FILTER_BYTES = 256 << 20
+FILTER_BYTES = 256 << 20  # of a filter that is broadcast
+PART_BYTES = 8 << 20
 HEAD_WORDS = 500_000
 FLUSH = 1_000_000
 _words = WordHashes(SEED, 200_000)
@@ -156,12 +162,29 @@ def filter_part(keys: np.ndarray, levels: np.ndarray, words: int, probes: int) -
     return part
 
 
+def levels_in(data: np.ndarray, keys: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Levels of `keys` whose parts of the filter are those rows of `data`."""
+    level = np.zeros(len(keys), np.int64)
+    words, data = data.shape[1], data.reshape(-1)
+    for begin in range(0, len(keys), 1 << 15):  # what fits the processor's cache
+        some = keys[begin : begin + (1 << 15)]
+        left, row = np.arange(begin, begin + len(some)), part[begin : begin + (1 << 15)] * words
+        for step in range(1, LEVELS + 1):
+            at, bits = _places(some, step, words, PROBES)
+            there = np.flatnonzero(data[row + at] & bits == bits)
+            left, some, row = left[there], some[there], row[there]
+            if not len(left):
+                break
+            level[left] = step
+    return level
+
+
 @dataclass
 class Model:
     order: int
-    segments: int
-    probes: int
-    data: np.ndarray  # a row of 64-bit words for each segment
+    segments: int  # parts of the filter
+    data: np.ndarray | None  # a row of 64-bit words for each part, or None if the filter is not broadcast
+    stored_at: str  # folder of the filter's parts
     tokens: int
     words: int
     follow: list[float]  # for each order, the exponent g
@@ -170,31 +193,20 @@ class Model:
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Quantised counts of `keys`."""
-        level = np.zeros(len(keys), np.int64)
         if not self.segments:
-            return _MEAN[level]
-        data, words = self.data.reshape(-1), self.data.shape[1]
-        for begin in range(0, len(keys), 1 << 15):  # what fits the processor's cache
-            part = keys[begin : begin + (1 << 15)]
-            left, row = np.arange(begin, begin + len(part)), _segment(part, self.segments) * words
-            for step in range(1, LEVELS + 1):
-                at, bits = _places(part, step, words, self.probes)
-                there = np.flatnonzero(data[row + at] & bits == bits)
-                left, part, row = left[there], part[there], row[there]
-                if not len(left):
-                    break
-                level[left] = step
-        return _MEAN[level]
-
-    def score(self, rows: list[list[np.ndarray]]) -> tuple[np.ndarray, ...]:
-        """Of some texts' `grams`: the log10 probability of each, its tokens, and the exact counts of the tokens of all
-        texts, one after the other, or -1 for those that are not in the head."""
+            return np.zeros(len(keys))
+        return _MEAN[levels_in(self.data, keys, _segment(keys, self.segments))]
+
+    def score(self, rows: list[list[np.ndarray]], counted: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, ...]:
+        """Of some texts' `grams` and what gives the quantised counts of keys: the log10 probability of each text, its
+        tokens, and the exact counts of the tokens of all texts, one after the other, or -1 for those that are not in the
+        head."""
         padding = self.order - 1
         sizes = np.array([len(keys[0]) for keys in rows]) - padding
         words, index = np.unique(np.concatenate([r[0] for r in rows]), return_inverse=True)
-        counts = [self.counts(words)[index]]
+        counts = [counted(words)[index]]
         for n in range(2, self.order + 1):
-            counts.append(self.counts(np.concatenate([r[n - 1] for r in rows])))
+            counts.append(counted(np.concatenate([r[n - 1] for r in rows])))
         ends = np.cumsum(sizes)
         token = np.arange(ends[-1])
         text = np.repeat(np.arange(len(rows)), sizes)
@@ -214,7 +226,7 @@ class Model:
 
 
 def train(docs: DataFrame, order: int = ORDER, segments: int | None = None, most_bytes: int = FILTER_BYTES,
-          head_words: int = HEAD_WORDS) -> tuple[Model, DataFrame]:
+          head_words: int = HEAD_WORDS, part_bytes: int = PART_BYTES) -> tuple[Model, DataFrame]:
     """The model, and the stored counts (key, c) of all words too rare for its head."""
     spark = docs.sparkSession
     segments = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -223,9 +235,9 @@ def train(docs: DataFrame, order: int = ORDER, segments: int | None = None, most
     known = parts.select("segment", "by_level", "n_words", "distinct", "n_entries").toPandas()
     # All parts get the size that the largest needs; a hash deals the entries out evenly.
     largest = int(known["n_entries"].max()) if len(known) else 0
-    per_entry = min(BITS_PER_ENTRY, most_bytes * 8 / max(largest * segments, 1))
-    size = max(1, int(largest * per_entry) // 64)
-    probes = max(1, min(PROBES, round(per_entry * np.log(2))))
+    split = max(1, int(np.ceil(largest * BITS_PER_ENTRY / 8 / part_bytes)))  # parts of a segment: `_segment` nests them
+    size = max(1, int(largest * BITS_PER_ENTRY / split) // 64)
+    whole = segments * split * size * 8 <= most_bytes
     by_level = np.sum(list(known["by_level"]), axis=0) if len(known) else np.zeros(LEVELS + 1)
     above = np.cumsum(by_level[::-1])[::-1]  # words of each level or higher
     least = int(np.argmax(np.append(above, 0) <= head_words))
@@ -236,29 +248,36 @@ def train(docs: DataFrame, order: int = ORDER, segments: int | None = None, most
         for batch in batches:
             for s, keys, levels, words, counts in zip(*(batch[c] for c in (
                     "segment", "entries", "levels", "words", "word_counts"))):
-                data = filter_part(np.frombuffer(keys, "<u8"), np.frombuffer(levels, np.uint8), size, probes)
+                keys, levels = np.frombuffer(keys, "<u8"), np.frombuffer(levels, np.uint8)
+                part = _segment(keys, segments * split)
                 words, counts = np.frombuffer(words, "<u8"), np.frombuffer(counts, "<i8")
                 common = counts >= low
-                yield pd.DataFrame({"segment": [s], "data": [data.tobytes()],
-                                    "head": [words[common].tobytes()], "head_counts": [counts[common].tobytes()]})
+                for number in range(s * split, (s + 1) * split):
+                    mine = part == number
+                    yield pd.DataFrame({
+                        "part": [number], "data": [filter_part(keys[mine], levels[mine], size, PROBES).tobytes()],
+                        "head": [words[common].tobytes()], "head_counts": [counts[common].tobytes()]})
+                    common = np.zeros(len(words), bool)  # a segment's words stand with its first part
 
     built = stored(parts.select("segment", "entries", "levels", "words", "word_counts").mapInPandas(
-        build, "segment int, data binary, head binary, head_counts binary"), "lm-filter")
-    parts_of = built.select("segment", F.length("head").alias("n_head")).toPandas()
-    heads = np.zeros(segments, np.int64)
-    heads[parts_of["segment"].to_numpy(int)] = np.cumsum([0, *parts_of["n_head"]])[:-1] // 8
-    data = np.zeros((segments, size), np.uint64)
+        build, "part int, data binary, head binary, head_counts binary"), "lm-filter")
+    parts_of = built.select("part", F.length("head").alias("n_head")).toPandas()
+    heads = np.zeros(segments * split, np.int64)
+    heads[parts_of["part"].to_numpy(int)] = np.cumsum([0, *parts_of["n_head"]])[:-1] // 8
+    data = np.zeros((segments * split, size), np.uint64) if whole else None
     head, head_counts = (np.zeros(int(parts_of["n_head"].sum()) // 8, kind) for kind in ("<u8", "<i8"))
-    # The filter, at most `most_bytes`, and at most `head_words` words, fetched a part at a time.
-    for row in built.select("segment", "data", "head", "head_counts").toLocalIterator():
-        data[row.segment], word = np.frombuffer(row.data, np.uint64), heads[row.segment]
+    # A filter of at most `most_bytes`, and at most `head_words` words, fetched a part at a time.
+    for row in built.select("part", *["data"] * whole, "head", "head_counts").toLocalIterator():
+        if whole:
+            data[row.part] = np.frombuffer(row.data, np.uint64)
+        word = heads[row.part]
         head[word : word + len(row.head) // 8] = np.frombuffer(row.head, "<u8")
         head_counts[word : word + len(row.head) // 8] = np.frombuffer(row.head_counts, "<i8")
     rank = np.argsort(head)
     tokens = int(known["n_words"].sum())
     follow = [float(np.log(max(d, 2)) / np.log(max(tokens, d, 2))) for d in distinct]
     model = Model(
-        order, segments if len(parts_of) else 0, probes, data,
+        order, segments * split if len(parts_of) else 0, data, built.stored_at,
         tokens, int(by_level.sum()), follow, head[rank], head_counts[rank],
     )
 
@@ -272,30 +291,126 @@ def train(docs: DataFrame, order: int = ORDER, segments: int | None = None, most
     return model, parts.select("words", "word_counts").mapInPandas(rare, "key long, c long")
 
 
+def asked_keys(docs: DataFrame, order: int, parts: int) -> DataFrame:
+    """Bundles of texts, and the distinct keys of each by the part of the filter that holds them.
+
+    A row of part -1 has a bundle's texts, packed, and their ids, which ids are null, and sizes; others have sorted keys.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name = TaskContext.get().partitionId() << 32
+        columns = ["bundle", "part", "data", "ids", "nulls", "sizes"]
+        ids, nulls, texts, keys, size = [], [], [], [], 0
+
+        def flushed() -> Iterator[pd.DataFrame]:
+            for part, asked in by_part(np.unique(np.concatenate(keys)), parts):
+                yield pd.DataFrame([(name, part, asked.tobytes(), None, None, None)], columns=columns)
+            packed = zstandard.ZstdCompressor(level=1).compress(b"".join(texts))
+            sizes = np.array(list(map(len, texts)), "<i8")
+            yield pd.DataFrame([(name, -1, packed, np.array(ids, "<i8").tobytes(), bytes(nulls), sizes.tobytes())], columns=columns)
+
+        for batch in in_rows(batches, ["doc_id", "text"]):
+            for doc_id, null, text in zip(batch["doc_id"].astype("Int64").fillna(0), batch["doc_id"].isna(), batch["text"]):
+                found = grams(text, order)
+                ids.append(doc_id)
+                nulls.append(null)
+                texts.append(text_bytes(text))
+                keys.append(np.unique(np.concatenate(found)))
+                size += sum(map(len, found))
+                if size >= FLUSH:
+                    yield from flushed()
+                    name, ids, nulls, texts, keys, size = name + 1, [], [], [], [], 0
+        if ids:
+            yield from flushed()
+
+    return docs.select("doc_id", "text").mapInPandas(
+        run, "bundle long, part int, data binary, ids binary, nulls binary, sizes binary")
+
+
+def by_part(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    part = _segment(keys, parts)
+    rank = np.argsort(part, kind="stable")
+    numbers, starts = np.unique(part[rank], return_index=True)
+    return zip(numbers.tolist(), np.split(keys[rank], starts[1:]))
+
+
+def answered_keys(asked: DataFrame, filters: DataFrame, parts: int) -> DataFrame:
+    """(bundle, part, data): the levels of the keys of each row of keys, one byte each."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, data = None, None
+        for batch in batches:
+            out = []
+            for part, kind, bundle, content in zip(*(batch[c] for c in batch.columns)):
+                if kind == 0:
+                    held, data = part, np.frombuffer(content, np.uint64)[None]
+                    continue
+                keys = np.frombuffer(content, "<u8")
+                level = levels_in(data, keys, np.zeros(len(keys), np.int64)) if held == part else np.zeros(len(keys))
+                out.append((bundle, part, level.astype(np.uint8).tobytes()))
+            yield pd.DataFrame(out, columns=["bundle", "part", "data"])
+
+    filters = filters.select("part", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("bundle"), "data")
+    keys = asked.where("part >= 0").select("part", F.lit(1).alias("kind"), "bundle", "data")
+    return filters.union(keys).repartitionById(parts, F.col("part")).sortWithinPartitions("part", "kind").mapInPandas(
+        run, "bundle long, part int, data binary")
+
+
 def scored(docs: DataFrame, model: Model, rare: DataFrame) -> DataFrame:
     """`doc_id` and what the contract names, for every row of `docs`."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     total = model.tokens + 0.5 * (model.words + 1)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scores_of(ids: pd.array, texts: list[str | None], counted: Callable[[np.ndarray], np.ndarray]) -> pd.DataFrame:
         m = sent.value
+        scores, sizes, exact, words = m.score([grams(text, m.order) for text in texts], counted)
+        cuts = np.cumsum(sizes)[:-1]
+        known = exact >= 0
+        base = np.where(known, np.log10((np.maximum(exact, 0) + 0.5) / total), 0.0)
+        starts = np.append(0, cuts)
+        other = [np.unique(w[~k], return_counts=True) for w, k in zip(np.split(words, cuts), np.split(known, cuts))]
+        return pd.DataFrame({
+            "doc_id": ids, "n_tokens": sizes,
+            "head_known": np.add.reduceat(known.astype(np.int64), starts), "head_score": np.add.reduceat(base, starts),
+            "score": scores, "other": [signed(w) for w, _ in other], "times": [n for _, n in other]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in in_rows(batches, ["doc_id", "text"]):
-            scores, sizes, exact, words = m.score([grams(text, m.order) for text in batch["text"]])
-            cuts = np.cumsum(sizes)[:-1]
-            known = exact >= 0
-            base = np.where(known, np.log10((np.maximum(exact, 0) + 0.5) / total), 0.0)
-            starts = np.append(0, cuts)
-            other = [np.unique(w[~k], return_counts=True) for w, k in zip(np.split(words, cuts), np.split(known, cuts))]
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"].astype("Int64").array, "n_tokens": sizes,
-                "head_known": np.add.reduceat(known.astype(np.int64), starts), "head_score": np.add.reduceat(base, starts),
-                "score": scores, "other": [signed(w) for w, _ in other], "times": [n for _, n in other]})
-
-    first = stored(
-        docs.select("doc_id", "text").mapInPandas(
-            run, "doc_id long, n_tokens long, head_known long, head_score double, score double, "
-                 "other array<long>, times array<long>"
-        ).withColumn("row", F.monotonically_increasing_id()), "lm-first")
+            yield scores_of(batch["doc_id"].astype("Int64").array, list(batch["text"]), sent.value.counts)
+
+    def run_bundles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m, levels = sent.value, {}
+        for batch in batches:
+            for bundle, kind, part, data, ids, nulls, sizes in zip(*(batch[c] for c in batch.columns)):
+                if kind == 0:
+                    levels[part] = np.frombuffer(data, np.uint8)
+                    continue
+                doc_ids = pd.arrays.IntegerArray(np.array(np.frombuffer(ids, "<i8")), np.array(np.frombuffer(nulls, bool)))
+                raw, ends = unpacked(data), np.cumsum(np.frombuffer(sizes, "<i8")).tolist()
+                texts = [raw[a:b].decode() for a, b in zip([0, *ends], ends)]
+                keys = np.unique(np.concatenate([np.unique(np.concatenate(grams(text, m.order))) for text in texts]))
+                level = np.zeros(len(keys), np.int64)
+                level[np.argsort(_segment(keys, m.segments), kind="stable")] = np.concatenate(
+                    [levels[number] for number in sorted(levels)])
+                levels = {}
+                for a in range(0, len(texts), 256):
+                    yield scores_of(doc_ids[a : a + 256], texts[a : a + 256],
+                                    lambda some: _MEAN[level[np.searchsorted(keys, some)]])
+
+    columns = ("doc_id long, n_tokens long, head_known long, head_score double, score double, "
+               "other array<long>, times array<long>")
+    if model.data is not None or not model.segments:
+        found = docs.select("doc_id", "text").mapInPandas(run, columns)
+    else:
+        asked = stored(asked_keys(docs, model.order, model.segments), "lm-asked")
+        filters = docs.sparkSession.read.schema("part int, data binary").parquet(model.stored_at)
+        about, no = ("ids", "nulls", "sizes"), F.lit(None).cast("binary")
+        answers = answered_keys(asked, filters, model.segments).select(
+            "bundle", F.lit(0).alias("kind"), "part", "data", *(no.alias(name) for name in about))
+        texts = asked.where("part < 0").select("bundle", F.lit(1).alias("kind"), "part", "data", *about)
+        found = answers.union(texts).repartition("bundle").sortWithinPartitions("bundle", "kind").mapInPandas(
+            run_bundles, columns)
+    first = stored(found.withColumn("row", F.monotonically_increasing_id()), "lm-first")
     other = first.select("row", F.explode(F.arrays_zip("other", "times")).alias("o")).select(
         "row", F.col("o.other").alias("key"), F.col("o.times").alias("times"))
     c = F.coalesce("c", F.lit(0))

@@ -230,6 +230,17 @@ def test_scores(docs, empty, head):
     assert {x.score for x in scoring.scored(docs, unlearnt, none).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("part_bytes", [1 << 23, 512])
+def test_scores_do_not_depend_on_what_is_broadcast(docs, part_bytes):
+    def scores(most_bytes):
+        model, rare = scoring.train(docs, most_bytes=most_bytes, part_bytes=part_bytes)
+        assert (model.data is None) == (most_bytes == 100) and model.segments >= (4 if part_bytes > 512 else 8)
+        out = scoring.scored(docs, model, rare).collect()
+        return Counter((x.doc_id, x.n_tokens, x.n_known, round(x.base_score, 6), round(x.score, 6)) for x in out)
+
+    assert scores(100) == scores(scoring.FILTER_BYTES)
+
+
 def test_mixing_query_matches_sql(spark):
     assert difference(QUERIES["op1_mix_sources"](spark, FOLDER), connect(FOLDER), SQL["op1_mix_sources"]) is None
 
