@@ -11,8 +11,10 @@ lies outside; each step takes back what came inside.
 Largest inner product becomes least distance by one more coordinate: a vector x of length at most M becomes
 (x, sqrt(M^2 - |x|^2)), a query (q, 0) brought to length M.
 
-Vectors are dealt into blocks of about `BLOCK_ROWS`; the queries go through every block as a stream, and a query's best of
-each block are merged. Recall against brute force is in the README and tested.
+Vectors are dealt into bands of nearly equal length (within a factor of `BAND`), and by hash inside a band into blocks of
+about `BLOCK_ROWS`; M is a block's own longest, as a far longer vector would leave the others hardly apart. The queries go
+through every block as a stream, and a query's best of each block are merged. Recall against brute force is in the README
+and tested.
 
 Vectors that are null, empty, zero, or hold nulls or non-finite numbers take no part, nor do rows without an id; rows of
 one id count once, with the least vector; vectors meet only those of their own dimension; equal scores go to the smaller
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from candlewick.llm.common import stored, table
 
@@ -36,24 +38,33 @@ VERIFIED_EACH = 12  # vectors for each neighbour asked for: at least so many col
 FIRST_WIDTH = 1.4  # in units of a typical distance, sqrt(2) M, over sqrt(2)
 WIDEN = 1.1
 STEPS = 40
+BAND = 1.1
 BLOCK_ROWS = 4096
 NEAREST = 20
 
 
 def clean_vectors(frame: DataFrame) -> DataFrame:
-    """(vec_id, v, dim): one row per id with a usable vector in double precision."""
+    """(vec_id, v, dim, band): one row per id with a usable vector in double precision."""
     v = F.col("v")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return frame.select("vec_id", F.col("embedding").cast("array<double>").alias("v")).where(
         F.col("vec_id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0)
-    ).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    ).groupBy("vec_id").agg(F.min("v").alias("v")).select("vec_id", "v", F.size("v").alias("dim"), band().alias("band"))
+
+
+def band() -> Column:
+    """Logarithm of the length to the base `BAND`, rounded. Taken by the greatest number, so that no square overflows."""
+    greatest = F.array_max(F.transform("v", F.abs))
+    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / greatest) * (x / greatest))
+    return F.round((F.log(greatest) + F.log(squares) / 2) / float(np.log(BAND))).cast("int")
 
 
 class Block:
     """The index of some vectors of one dimension."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float):
-        self.ids, self.vectors, self.longest = ids, vectors, longest
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors = ids, vectors
+        longest = self.longest = float(np.sqrt(np.einsum("ij,ij->i", vectors, vectors).max()))
         self.directions = np.random.default_rng(7).standard_normal((vectors.shape[1] + 1, PROJECTIONS))
         rest = np.sqrt(np.maximum(longest**2 - np.einsum("ij,ij->i", vectors, vectors), 0))
         values = vectors @ self.directions[:-1] + rest[:, None] * self.directions[-1]
@@ -97,26 +108,25 @@ class Block:
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEAREST, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score); both sides from `clean_vectors`."""
-    sizes = vectors.groupBy("dim").agg(
-        F.count(F.lit(1)).alias("n"), F.sqrt(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("longest"))
+    sizes = vectors.groupBy("dim", "band").agg(F.count(F.lit(1)).alias("n"))
     blocks = F.ceil(F.col("n") / block_rows).cast("int")
-    dealt = vectors.join(sizes, "dim").select(
-        "dim", F.pmod(F.xxhash64("vec_id"), blocks).cast("int").alias("block"), F.lit(0).alias("kind"), "vec_id", "v", "longest")
-    asked = queries.join(sizes, "dim").select(
-        "dim", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(1).alias("kind"), "vec_id", "v", "longest")
+    dealt = vectors.join(sizes, ["dim", "band"]).select(
+        "dim", "band", F.pmod(F.xxhash64("vec_id"), blocks).cast("int").alias("block"), F.lit(0).alias("kind"), "vec_id", "v")
+    asked = queries.drop("band").join(sizes, "dim").select(
+        "dim", "band", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(1).alias("kind"), "vec_id", "v")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, held, block = None, [], None
         for batch in batches:
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for dim, number, kind, vec_id, v, longest in zip(*(batch[c] for c in batch.columns)):
-                if key != (dim, number):
-                    key, held, block = (dim, number), [], None
+            for *place, kind, vec_id, v in zip(*(batch[c] for c in batch.columns)):
+                if key != place:
+                    key, held, block = place, [], None
                 if kind == 0:
-                    held.append((vec_id, v, longest))
+                    held.append((vec_id, v))
                     continue
                 if block is None and held:
-                    block = Block(np.array([x[0] for x in held], np.int64), np.stack([x[1] for x in held]), held[0][2])
+                    block = Block(np.array([x[0] for x in held], np.int64), np.stack([x[1] for x in held]))
                     held = []
                 if block is not None:
                     ids, scores = block.nearest(vec_id, np.asarray(v), k)
@@ -125,7 +135,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEAREST, block_rows
                 query_id, ids, scores = (np.concatenate(x) for x in zip(*out))
                 yield pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": scores})
 
-    found = dealt.union(asked).repartition("dim", "block").sortWithinPartitions("dim", "block", "kind", "vec_id").mapInPandas(
+    at = ("dim", "band", "block")
+    found = dealt.union(asked).repartition(*at).sortWithinPartitions(*at, "kind", "vec_id").mapInPandas(
         run, "query_id long, vec_id long, score double")
     place = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select(

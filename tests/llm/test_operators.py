@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -74,6 +75,25 @@ def test_neighbours_match_brute_force(spark):
     assert hit >= 0.9 * len(got)
 
 
+@pytest.mark.parametrize("lengths", ["one long", "lognormal"])
+def test_neighbours_of_unequal_length(spark, lengths):
+    rng = np.random.default_rng(3)
+    data = rng.standard_normal((8192, 64))
+    data /= np.sqrt((data * data).sum(1))[:, None]
+    data *= rng.lognormal(0, 0.5, len(data))[:, None] if lengths == "lognormal" else 1
+    data[5] *= 5 if lengths == "one long" else 1
+    frame = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(data)), "embedding": list(data)}))
+    vectors = neighbours.clean_vectors(frame)
+    got = neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 80 == 0)).toPandas()
+    hit = 0
+    for q, mine in got.groupby("query_id"):
+        scores = data @ data[q]
+        scores[q] = -np.inf
+        assert len(mine) == 20
+        hit += len(set(np.argsort(-scores)[:20]) & set(mine["vec_id"]))
+    assert len(got) == 20 * 103 and hit >= 0.9 * len(got)
+
+
 def test_classifier_separates(spark, docs, empty):
     good = [(i, f"Plain words of text number {i} here.") for i in range(60)]
     bad = [(100 + i, f"BUY!! NOW!! {i}%%% ###") for i in range(60)]
