@@ -1,8 +1,8 @@
 """Substring dedup by content-defined chunks.
 
 A gear hash rolls over the bytes; a chunk ends where its top bits are zero, so boundaries move with the content and an
-insertion changes only the chunks around it. Of all chunks with one digest the first (least id, then place) stays. A run
-of later copies is removed if it has at least `LEAST_RUN` bytes or is the whole text; shorter ones are common phrases.
+insertion changes only the chunks around it. Of all chunks with one digest the first (least id, then place) stays; every
+later copy is removed, however short.
 
 Digests have 128 bits. Chunks are counted per digest with a partial step in each task, and only digests that repeat are
 joined back, so a chunk that a third of the documents hold is no single task's work.
@@ -24,7 +24,6 @@ from candlewick.llm.common import in_rows, mixed, stored, table, text_bytes, unp
 from candlewick.llm.suffixes import _with_texts
 
 LEAST, MOST, CUT_BITS = 32, 256, 5
-LEAST_RUN = 100
 #: One random 32-bit number per byte value.
 _GEAR = (mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) >> np.uint64(32)).astype(np.uint32)
 
@@ -81,8 +80,8 @@ def chunks(docs: DataFrame) -> DataFrame:
         run, "doc_id long, t int, place long, d1 long, d2 long")
 
 
-def removed_runs(places: np.ndarray, later: np.ndarray, size: int) -> list[tuple[int, int]]:
-    """First byte and end of each run of later copies that goes. `places` are a text's repeated chunks."""
+def removed_runs(places: np.ndarray, later: np.ndarray) -> list[tuple[int, int]]:
+    """First byte and end of each run of later copies. `places` are a text's repeated chunks."""
     order = np.argsort(places)
     start, length = (places >> 9)[order][later[order]], (places & 511)[order][later[order]]
     out: list[list[int]] = []
@@ -91,7 +90,7 @@ def removed_runs(places: np.ndarray, later: np.ndarray, size: int) -> list[tuple
             out[-1][1] = a + n
         else:
             out.append([a, a + n])
-    return [(a, b) for a, b in out if b - a >= LEAST_RUN or b - a == size]
+    return [(a, b) for a, b in out]
 
 
 def without_copied_chunks(docs: DataFrame) -> DataFrame:
@@ -112,7 +111,7 @@ def without_copied_chunks(docs: DataFrame) -> DataFrame:
                 data, begin, parts = unpacked(packed), 0, []
                 places = np.array([] if at is None else [x["place"] for x in at], np.int64)
                 later = np.array([] if at is None else [x["later"] for x in at], bool)
-                for a, b in removed_runs(places, later, len(data)):
+                for a, b in removed_runs(places, later):
                     parts.append(data[begin:a])
                     begin = b
                 kept = b"".join([*parts, data[begin:]])

@@ -115,6 +115,22 @@ def test_chunks_keep_the_first_copy(docs, empty):
     assert all(len(x.text.encode()) == x.n_bytes - x.n_removed for x in out)
 
 
+def test_every_later_chunk_goes(spark):
+    rng = np.random.default_rng(4)
+    base = [f"word{x}" for x in rng.integers(0, 5000, 400)]
+    texts = [" ".join(f"new{i}" if i % 12 == k else w for i, w in enumerate(base)) for k in (12, 3, 7)]  # short runs
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    later, seen = Counter(), set()
+    for i, text in enumerate(texts):
+        raw = text.encode()
+        ends = chunking.chunk_ends(np.frombuffer(raw, np.uint8))
+        for a, b in zip([0, *ends], ends):
+            later[i] += (b - a) * (raw[a:b] in seen)
+            seen.add(raw[a:b])
+    out = {x.doc_id: x.n_removed for x in chunking.without_copied_chunks(frame).collect()}
+    assert out == {i: later[i] for i in out} and min(out[1], out[2]) > 0
+
+
 def test_edited_fingerprints(docs, empty):
     out = fingerprints.edited_fingerprints(docs, 3).collect()
     ordered = sorted(rows(), key=lambda x: (x[0] is None, -(x[0] or 0), x[1] is not None, x[1] or ""))
