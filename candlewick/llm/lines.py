@@ -14,7 +14,7 @@ lines of a batch at a time:
 - beyond that the probes travel to the shards, which are dealt to as many tasks as the probes of each need, and only the
   ordinals of lines to drop travel back. Results are the same (tested).
 
-Defined cases: a null or empty text is one empty line; a null doc_id counts as the largest, so lines that only rows without id
+Defined cases: a null or empty text is one empty line; a null doc_id counts as the largest (2^63 - 1), so lines that only rows without id
 hold all stay; rows of one doc_id are documents of their own but none of them precedes another, so a key keeps all its
 lines in rows of its smallest id; `text` and, if there, `n_chars` are what cleaning changes, other columns stay as they are; an
 empty table gives an empty result.
@@ -57,17 +57,22 @@ def key_digests(text: str | None, least: int = LEAST_CHARS) -> tuple[list[bytes]
     return raw.split(b"\n"), np.array(ordinal, np.int64), np.frombuffer(b"".join(map(digest, seen)), ">u8").astype(np.uint64).reshape(-1, 2)
 
 
+def own_id(doc_id: Column) -> Column:
+    """The id without nulls, which would turn a batch's ids into floating-point numbers."""
+    return F.coalesce(doc_id.cast("long"), F.lit(NO_ID)).alias("own")
+
+
 def line_counts(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
     """(a, b, docs, first): each key's digest, the number of rows of `docs` that hold it, and the smallest id."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in in_rows(batches, ["doc_id", "text"]):
+        for batch in in_rows(batches, ["own", "text"]):
             marks = [key_digests(text, least)[2] for text in batch["text"]]
-            ids = np.repeat(batch["doc_id"].astype("Int64").fillna(NO_ID).to_numpy(np.int64), [len(x) for x in marks])
+            ids = np.repeat(batch["own"].to_numpy(np.int64), [len(x) for x in marks])
             both = signed(np.concatenate(marks))
             yield pd.DataFrame({"a": both[:, 0], "b": both[:, 1], "id": ids})
 
-    held = docs.select("doc_id", "text").mapInPandas(run, "a long, b long, id long")
+    held = docs.select(own_id(F.col("doc_id")), "text").mapInPandas(run, "a long, b long, id long")
     return held.groupBy("a", "b").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"))
 
 
@@ -206,7 +211,7 @@ def _dropped_here(docs: DataFrame, index: LineIndex) -> DataFrame:
 
     @F.pandas_udf("n_lines long, n_dropped long, kept string")
     def clean(ids: pd.Series, texts: pd.Series) -> pd.DataFrame:
-        own = ids.astype("Int64").fillna(NO_ID).to_numpy(np.int64)
+        own = ids.to_numpy(np.int64)
         out = []
         for at in range(0, len(own), 256):  # texts of so many rows are split at a time
             found = [key_digests(text, least) for text in texts.iloc[at : at + 256]]
@@ -225,39 +230,40 @@ def _dropped_here(docs: DataFrame, index: LineIndex) -> DataFrame:
         return pd.DataFrame(out, columns=["n_lines", "n_dropped", "kept"])
 
     rows = docs.select(F.struct(*docs.columns).alias("row"))
-    return rows.withColumn("c", clean("row.doc_id", "row.text")).select("row", "c.*")
+    return rows.withColumn("c", clean(own_id(F.col("row.doc_id")), "row.text")).select("row", "c.*")
 
 
 def _dropped_by_shards(docs: DataFrame, index: LineIndex, probes: int = PROBES) -> DataFrame:
     """The same for an index of any size: probes go to the shards' tasks, ordinals of lines to drop come back."""
     n, least, least_docs = index.n_shards, index.least, index.least_docs
     mark = F.md5(F.coalesce("text", F.lit("")))
-    asked = "doc_id long, mark string, ordinal int, shard int, turn long, a long, b long"
+    asked = "own long, mark string, ordinal int, shard int, turn long, a long, b long"
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         turn = 0
-        for batch in in_rows(batches, ["doc_id", "mark", "text"]):
+        for batch in in_rows(batches, ["own", "mark", "text"]):
             marks = [key_digests(text, least)[2] for text in batch["text"]]
             size = [len(x) for x in marks]
             both = signed(np.concatenate(marks))
             ordinal = np.concatenate([np.arange(x) for x in size]).astype(np.int32)
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"].astype("Int64").repeat(size).to_numpy(), "mark": batch["mark"].repeat(size).to_numpy(),
+                "own": batch["own"].repeat(size).to_numpy(), "mark": batch["mark"].repeat(size).to_numpy(),
                 "ordinal": ordinal, "shard": np.mod(both[:, 0], n).astype(np.int32),
                 "turn": np.arange(turn, turn + len(both)), "a": both[:, 0], "b": both[:, 1]})
             turn += len(both)
 
     # A shard gets a task for every `probes` probes, dealt in turn, so that a line of a third of all documents spreads.
-    all_probes = docs.select("doc_id", mark.alias("mark"), "text").mapInPandas(ask, asked)
+    all_probes = docs.select(own_id(F.col("doc_id")), mark.alias("mark"), "text").mapInPandas(ask, asked)
     tasks = F.ceil(F.col("probes") / probes).cast("int")
     sizes = index.shards.select("shard", tasks.alias("tasks"))
     sent = all_probes.join(sizes, "shard").select(
         "shard", F.pmod("turn", F.col("tasks")).cast("int").alias("task"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("data"),
-        "doc_id", "mark", "ordinal", "a", "b")
+        "own", "mark", "ordinal", "a", "b")
     arrays = index.shards.select(
         "shard", F.explode(F.sequence(F.lit(0), tasks - 1)).alias("task"), F.lit(0).alias("kind"), "data",
-        *[F.lit(None).cast(kind).alias(name) for name, kind in (
-            ("doc_id", "long"), ("mark", "string"), ("ordinal", "int"), ("a", "long"), ("b", "long"))])
+        F.lit(0).cast("long").alias("own"), F.lit(None).cast("string").alias("mark"),
+        # Zeros, as nulls would turn whole numbers of a batch into floating-point ones.
+        F.lit(0).alias("ordinal"), F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard = None
@@ -270,13 +276,12 @@ def _dropped_by_shards(docs: DataFrame, index: LineIndex, probes: int = PROBES)
                 if len(part):
                     a, b = (part[c].to_numpy(np.int64).view(np.uint64) for c in "ab")
                     counts, firsts = shard.find(a, b)
-                    own = part["doc_id"].astype("Int64").fillna(NO_ID).to_numpy(np.int64)
-                    yield part[(counts >= least_docs) & (firsts < own)][["doc_id", "mark", "ordinal"]]
+                    yield part[(counts >= least_docs) & (firsts < part["own"].to_numpy(np.int64))][["own", "mark", "ordinal"]]
 
     hits = arrays.union(sent).repartition("shard", "task").sortWithinPartitions("shard", "task", "kind").mapInPandas(
-        answer, "doc_id long, mark string, ordinal int")
+        answer, "own long, mark string, ordinal int")
     # One row a document: equal rows (same id and text) lose the same lines.
-    drops = hits.groupBy("doc_id", "mark").agg(F.collect_set("ordinal").alias("ordinals"))
+    drops = hits.groupBy("own", "mark").agg(F.collect_set("ordinal").alias("ordinals"))
 
     @F.pandas_udf("n_lines long, n_dropped long, kept string")
     def clean(texts: pd.Series, ordinals: pd.Series) -> pd.DataFrame:
@@ -290,8 +295,8 @@ def _dropped_by_shards(docs: DataFrame, index: LineIndex, probes: int = PROBES)
             out.append((len(lines), int(gone.sum()), cleaned(lines, gone)))
         return pd.DataFrame(out, columns=["n_lines", "n_dropped", "kept"])
 
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own"), mark.alias("t")).alias("d").join(
-        drops.alias("s"), F.col("d.own").eqNullSafe(F.col("s.doc_id")) & (F.col("d.t") == F.col("s.mark")), "left")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), own_id(F.col("doc_id")), mark.alias("mark")).join(
+        drops, ["own", "mark"], "left")
     return rows.withColumn("c", clean("row.text", "ordinals")).select("row", "c.*")
 
 
