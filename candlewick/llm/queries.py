@@ -7,6 +7,7 @@ from candlewick.llm.chunking import op4_substring_dedup
 from candlewick.llm.fingerprints import op5_document_fingerprints
 from candlewick.llm.lines import OP13_SQL, op13_line_dedup
 from candlewick.llm.mixing import OP1_SQL, op1_mix_sources
+from candlewick.llm.negatives import OP12_SQL, op12_hard_negatives
 from candlewick.llm.neighbours import op2_nearest_neighbours
 from candlewick.llm.packing import op7_best_fit_packing
 from candlewick.llm.quality import op3_quality_classifier
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_token_files": op9_token_files,
     "op10_lm_scoring": op10_lm_scoring,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_line_dedup": op13_line_dedup,
     "pipeline": corpus_pipeline.run,
 }
 SQL = {
     "op1_mix_sources": OP1_SQL,
+    "op12_hard_negatives": OP12_SQL,
     "op13_line_dedup": OP13_SQL,
 }
