@@ -57,9 +57,13 @@ def unpacked(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
+def remainder_of(text: Column, modulus: int) -> Column:
+    return F.crc32(text.cast("binary")) % modulus
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
+    return remainder_of(F.coalesce(doc_id.cast("string"), F.lit("")), modulus)
 
 
 class WordHashes(dict):
