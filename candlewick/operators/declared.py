@@ -1,7 +1,7 @@
 """Indicator types a registry may name, and the registry evaluator.
 
-A registry entry is (name, type, parameters). Types without window-breaking recursion are evaluated together
-through one `Windows` collector; EMA, MACD in a recursive mode and the parabolic SAR follow in grouped passes.
+A registry entry is (name, type, parameters). Types are evaluated together
+through one `Windows` collector, EMA and MACD of any mode too; parabolic SAR lines are folded over each symbol's bars.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from candlewick.functions.numeric import ratio
 from candlewick.operators import indicators as core
-from candlewick.operators.recursive import with_ema, with_parabolic_sar
+from candlewick.operators import recursive
+from candlewick.operators.recursive import with_parabolic_sar
 from candlewick.operators.series import Term, Windows, combine, evaluate, running, source, trailing
 
 def _high() -> Term:
@@ -150,20 +151,30 @@ def ichimoku_senkou_b(windows: Windows, period: int = 52, ahead: int = 26) -> Te
     return windows.lag(f"senkou_b_{period}", _midrange(windows, period), ahead)
 
 
+def ema(windows: Windows, period: int, mode: str = "blend") -> Term:
+    return core.ema_blend(windows, period) if mode == "blend" else recursive.ema(windows, period, mode)
+
+
+def macd(windows: Windows, fast: int = 12, slow: int = 26, signal: int = 9, mode: str = "blend") -> Term:
+    if mode == "blend":
+        return core.macd_blend(windows, fast, slow, signal)["macd"]
+    return recursive.macd(windows, fast, slow, signal, mode)["macd"]
+
+
 def _band(name: str) -> Callable[..., Term]:
     return lambda windows, period=20: core.bollinger(windows, period)[name]
 
 
 TYPES: dict[str, Callable[..., Term]] = {
     "SMA": core.sma,
-    "EMA": core.ema_blend,
+    "EMA": ema,
     "RSI": core.rsi,
     "CCI": core.cci,
     "OBV": lambda windows, period=None: core.obv(windows),
     "BB_UPPER": _band("bb_upper"),
     "BB_MIDDLE": _band("bb_middle"),
     "BB_LOWER": _band("bb_lower"),
-    "MACD": lambda windows, fast=12, slow=26, signal=9: core.macd_blend(windows, fast, slow, signal)["macd"],
+    "MACD": macd,
     "STOCH_K": stoch_k,
     "STOCH_D": stoch_d,
     "WILLIAMS_R": williams_r,
@@ -191,30 +202,22 @@ def registry_table(bars: DataFrame, entries: Iterable[tuple[str, str, dict]]) ->
     """
     windows = Windows()
     outputs: dict[str, Term] = {}
-    averages: dict[str, dict[str, int]] = {}
-    grouped = []
+    lines = []
     names = []
     for name, kind, parameters in entries:
         names.append(name)
-        parameters = dict(parameters)
-        mode = parameters.pop("mode", "blend") if kind in ("EMA", "MACD") else "blend"
+        build = with_parabolic_sar if kind == "PARABOLIC_SAR" else TYPES.get(kind)
+        if build is None:
+            outputs[name] = Term(F.lit(None).cast("double"))
+            continue
+        known = {"step", "limit"} if kind == "PARABOLIC_SAR" else set(list(signature(build).parameters)[1:])
+        if unknown := sorted(set(parameters) - known):
+            raise ValueError(f"entry {name}: {kind} has no parameter {', '.join(unknown)}")
         if kind == "PARABOLIC_SAR":
-            grouped.append((with_parabolic_sar, {"name": name, **parameters}))
-        elif kind == "EMA" and mode != "blend":
-            averages.setdefault(mode, {})[name] = parameters["period"]
-        elif kind == "MACD" and mode != "blend":
-            periods = (parameters.get("fast", 12), parameters.get("slow", 26), parameters.get("signal", 9))
-            hidden = (name, f"__{name}_signal", f"__{name}_histogram")
-            grouped.append((with_ema, {"macd": periods, "mode": mode, "macd_names": hidden}))
-        elif kind in TYPES:
-            unknown = sorted(set(parameters) - set(list(signature(TYPES[kind]).parameters)[1:]))
-            if unknown:
-                raise ValueError(f"entry {name}: {kind} has no parameter {', '.join(unknown)}")
-            outputs[name] = TYPES[kind](windows, **parameters)
+            lines.append({"name": name, **parameters})
         else:
-            outputs[name] = Term(F.lit(None).cast("double"))
-    grouped += [(with_ema, {"averages": spans, "mode": mode}) for mode, spans in averages.items()]
-    table = evaluate(bars, windows, outputs, bars.columns if grouped else ["symbol", "date"])
-    for add, arguments in grouped:
-        table = add(table, **arguments)
+            outputs[name] = build(windows, **parameters)
+    table = evaluate(bars, windows, outputs, bars.columns if lines else ["symbol", "date"])
+    for line in lines:
+        table = with_parabolic_sar(table, **line)
     return table.select("symbol", "date", *names)

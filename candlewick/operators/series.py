@@ -63,6 +63,14 @@ class Windows:
         self.levels[term.level].setdefault(hidden, aggregate(term.column).over(frame))
         return Term(F.col(hidden), term.level + 1)
 
+    def column(self, name: str, build: Callable[..., Column], *terms: Term) -> Term:
+        """A row-wise expression as a hidden column of its own, which windows may name in their partitioning and order."""
+        term = combine(build, *terms)
+        while len(self.levels) <= term.level:
+            self.levels.append({})
+        self.levels[term.level].setdefault(f"__{name}", term.column)
+        return Term(F.col(f"__{name}"), term.level + 1)
+
     def position(self) -> Term:
         """1-based row number within the symbol."""
         return self.over("position", lambda _: F.row_number(), by_symbol(), Term(F.lit(None)))

@@ -1,7 +1,9 @@
 """Registered queries: a builder, a column list and the equivalent SQL.
 
 The column list is a string of `name:kind` pairs, applied to both sides so that they agree in form:
-`s` as it is, `i` bigint, `d` date and `t` timestamp as text, a digit a double rounded to that many places.
+`s` as it is, `i` bigint, `d` date and `t` timestamp as text, a digit a double rounded to that many places. With a `~` behind the
+digit the border between two rounded values lies a thousandth of a unit below the half: prices are cents over a quantity, so exact
+halves occur, and sums taken in another order may end on either side of one.
 """
 
 from __future__ import annotations
@@ -117,7 +119,8 @@ def _sql_column(name: str, kind: str) -> str:
         return f'CAST("{name}" AS VARCHAR) AS "{name}"'
     if kind == "t":
         return f"strftime(\"{name}\", '%Y-%m-%d %H:%M:%S.%f') AS \"{name}\""
-    return f'floor(CAST("{name}" AS DOUBLE) * 1e{kind} + 0.5) / 1e{kind} AS "{name}"'
+    half = 0.501 if kind.endswith("~") else 0.5
+    return f'floor(CAST("{name}" AS DOUBLE) * 1e{kind[0]} + {half}) / 1e{kind[0]} AS "{name}"'
 
 
 def _spark_column(name: str, kind: str):
@@ -128,6 +131,8 @@ def _spark_column(name: str, kind: str):
         column = column.cast("string")
     elif kind == "t":
         column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    elif kind.endswith("~"):
+        column = F.floor(column.cast("double") * 10.0 ** int(kind[0]) + 0.501) / 10.0 ** int(kind[0])
     elif kind != "s":
         column = round_half_up(column.cast("double"), int(kind))
     return column.alias(name)

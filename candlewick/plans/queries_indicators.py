@@ -175,7 +175,7 @@ RECURSIVE_PERIODS = (5, 20, 60)
 EMA_WALK = f"""{NUMBERED}, walk AS (
     SELECT symbol, date, i, {', '.join(f'close AS e{p}' for p in RECURSIVE_PERIODS)} FROM numbered WHERE i = 1
     UNION ALL SELECT n.symbol, n.date, n.i, {', '.join(_move(f'w.e{p}', 'n.close', p) for p in RECURSIVE_PERIODS)} {STEP})"""
-EMA_COLUMNS = KEY + " ".join(f"ema_{p}:6" for p in RECURSIVE_PERIODS)
+EMA_COLUMNS = KEY + " ".join(f"ema_{p}:6~" for p in RECURSIVE_PERIODS)
 
 
 @register(
@@ -211,17 +211,18 @@ def ema_adjusted(spark, folder):
 
 
 _F, _S = _move("w.f", "n.close", 12), _move("w.s", "n.close", 26)
+MACD_WALKED = MACD.replace(":6", ":6~")
 MACD_WALK = f"""{NUMBERED}, walk AS (
     SELECT symbol, date, i, close AS f, close AS s, 0e0 AS g FROM numbered WHERE i = 1
     UNION ALL SELECT n.symbol, n.date, n.i, {_F}, {_S}, {_move('w.g', f'({_F} - {_S})', 9)} {STEP})"""
 
 
 @register(
-    "macd_realtime", KEY + MACD,
+    "macd_realtime", KEY + MACD_WALKED,
     "SELECT symbol, date, f - s AS macd, g AS macd_signal, f - s - g AS macd_histogram FROM walk", "bars", MACD_WALK,
 )
 def macd_realtime(spark, folder):
-    return recursive.with_ema(bars(spark, folder).select("symbol", "date", "close"), macd=(12, 26, 9))
+    return recursive.with_ema(bars(spark, folder).select("symbol", "date", "close"), macd_spans=(12, 26, 9))
 
 
 _FN, _FD = f"(n.close + {_keep(12)} * w.fn)", f"(1 + {_keep(12)} * w.fd)"
@@ -233,13 +234,13 @@ MACD_ADJUSTED_WALK = f"""{NUMBERED}, walk AS (
 
 
 @register(
-    "macd_adjusted", KEY + MACD,
+    "macd_adjusted", KEY + MACD_WALKED,
     """SELECT symbol, date, fn / fd - sn / sd AS macd, gn / gd AS macd_signal,
               fn / fd - sn / sd - gn / gd AS macd_histogram FROM walk""", "bars", MACD_ADJUSTED_WALK,
 )
 def macd_adjusted(spark, folder):
     return recursive.with_ema(
-        bars(spark, folder).select("symbol", "date", "close"), macd=(12, 26, 9), mode="adjusted"
+        bars(spark, folder).select("symbol", "date", "close"), macd_spans=(12, 26, 9), mode="adjusted"
     )
 
 
@@ -297,7 +298,7 @@ LATEST_WALK = f"""{NUMBERED}, walk AS (
     "bars", LATEST_WALK,
 )
 def latest_indicators(spark, folder):
-    return ind.latest_complete(recursive.strict_indicator_table(bars(spark, folder)))
+    return recursive.latest_strict(bars(spark, folder))
 
 
 # ---- declared types -------------------------------------------------------------------------------------------

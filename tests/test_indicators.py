@@ -2,9 +2,12 @@
 
 import datetime as dt
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import DataFrame, functions as F
 
 from candlewick.operators import declared, indicators as ind, recursive
 from candlewick.schemas import BARS, INDICATOR_COLUMNS
@@ -147,6 +150,95 @@ def test_latest_complete(bars, history):
     assert not latest.isna().any().any()
 
 
+def test_latest_without_the_table(spark, bars):
+    """The newest complete rows, of symbols that end in a flat stretch or have too few bars as well."""
+    ends = [bars.withColumn("symbol", F.concat("symbol", F.lit(f"_{n}"))).where(F.col("date") < F.date_add(F.lit("2020-01-01"), n))
+            for n in (1, 59, 60, 90, 212, 220, 225, 230, 400)]
+    several = reduce(DataFrame.unionByName, ends)
+    want = result(ind.latest_complete(recursive.strict_indicator_table(several)))
+    found = result(recursive.latest_strict(several))
+    assert len(want) == 14 and list(found["symbol"]) == list(want["symbol"]) and list(found["date"]) == list(want["date"])
+    for name in want.columns[2:]:
+        if name in found.columns:
+            same(found[name], want[name])
+    assert set(want.columns) - set(found.columns) == {"open", "high", "low"}
+
+
+def walk(values, span, adjust):
+    """An average straight from its definition, value by value; missing ones are passed over."""
+    decay, out, top, bottom, seen = 1 - 2 / (span + 1), [], 0.0, 0.0, False
+    for value in values:
+        if value is not None:
+            if adjust:
+                top, bottom = value + decay * top, 1 + decay * bottom
+            else:
+                top, bottom = value if not seen else (1 - decay) * value + decay * top, 1.0
+            seen = True
+        out.append(top / bottom if seen else np.nan)
+    return out
+
+
+@pytest.mark.parametrize("span", [1, 2, 5, 60, 448])
+@pytest.mark.parametrize("mode", ["recursive", "adjusted"])
+def test_averages_over_many_blocks(spark, span, mode):
+    """5,000 bars, with gaps of missing closes at the start, across block borders and at the end."""
+    rng = np.random.default_rng(span)
+    close = [float(x) for x in 100 * np.exp(np.cumsum(rng.normal(0, 0.02, 5000)))]
+    for a, b in ((0, 3), (500, 530), (1020, 1030), (2040, 2080), (4990, 5000)):
+        close[a:b] = [None] * (b - a)
+    close[1500:4000:7] = [None] * len(close[1500:4000:7])
+    first = dt.date(2000, 1, 1)
+    frame = spark.createDataFrame([("A", first + dt.timedelta(days=i), x) for i, x in enumerate(close)], "symbol string, date date, close double")
+    found = result(recursive.with_ema(frame, {"e": span}, mode=mode))["e"]
+    same(found, np.array(walk(close, span, mode == "adjusted")))
+
+
+def test_block_lengths():
+    for span in (2, 3, 5, 9, 26, 60, 448, 5000):
+        rows, blocks = recursive._block(recursive.keep_of(span))
+        keep = recursive.keep_of(span)
+        assert keep**-rows < 1e300 and keep ** (rows * blocks) <= recursive.NEGLIGIBLE * 1.01 and blocks <= 4
+    with pytest.raises(ValueError):
+        recursive.keep_of(0)
+
+
+def test_parabolic_sar_walk(spark, bars, history):
+    """The fold against a plain walk, over lengths around its runs of 64 bars."""
+    def stops(group):
+        high, low = group["high"].tolist(), group["low"].tolist()
+        out = [np.nan] * len(high)
+        if len(high) > 1:
+            up = high[1] >= high[0]
+            stop, top, speed = (low[0], high[1], 0.02) if up else (high[0], low[1], 0.02)
+            out[1] = stop
+            for i in range(2, len(high)):
+                stop += speed * (top - stop)
+                stop = min(stop, low[i - 1], low[i - 2]) if up else max(stop, high[i - 1], high[i - 2])
+                if (low[i] < stop) if up else (high[i] > stop):
+                    stop, up, speed = top, not up, 0.02
+                    top = high[i] if up else low[i]
+                elif (high[i] > top) if up else (low[i] < top):
+                    top, speed = high[i] if up else low[i], min(0.2, speed + 0.02)
+                out[i] = stop
+        return out
+
+    for days in (1, 2, 3, 65, 66, 67, 130, DAYS):
+        short = history.groupby("symbol").head(days)
+        frame = bars.where(F.col("date") < F.date_add(F.lit("2020-01-01"), days))
+        found = recursive.with_parabolic_sar(frame)
+        assert found.columns == [*bars.columns, "parabolic_sar"]
+        table = result(found)
+        same(table["parabolic_sar"], np.concatenate([stops(g) for _, g in short.groupby("symbol")]))
+        same(table["close"], short.sort_values(["symbol", "date"])["close"])
+
+
+def test_unknown_parameters_are_errors(bars):
+    for kind, parameters in (("EMA", {"period": 5, "mode": "recursive", "spam": 1}), ("MACD", {"mode": "adjusted", "period": 5}),
+                             ("PARABOLIC_SAR", {"period": 5}), ("SMA", {"mode": "blend", "period": 5})):
+        with pytest.raises(ValueError, match="entry x"):
+            declared.registry_table(bars, [("x", kind, parameters)])
+
+
 def plan(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
@@ -189,8 +281,10 @@ def test_indicator_table_columns(bars):
 
 
 def test_strict_table_needs_one_shuffle(stored):
-    text = plan(recursive.strict_indicator_table(stored))
-    assert text.count("Exchange") == 1 and text.count("FlatMapGroupsInPandas") == 1
+    for frame in (recursive.strict_indicator_table(stored), recursive.latest_strict(stored), recursive.with_ema(stored, {"e": 5}, (12, 26, 9)),
+                  recursive.with_parabolic_sar(stored)):
+        text = plan(frame)
+        assert text.count("Exchange") == 1 and "Python" not in text and "Pandas" not in text
 
 
 def test_registry(bars, tmp_path):
