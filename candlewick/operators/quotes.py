@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from candlewick.functions.caps import cap_tier
 from candlewick.functions.numeric import round_half_up
 from candlewick.functions.text import alert_color, alert_title
+from candlewick.operators.asof import RANGE_SECONDS, as_of_join
 from candlewick.schemas import QUOTE_MESSAGE
 
 # Seconds after which cached state expires, and the topic names of the router.
@@ -66,8 +67,9 @@ def reconcile(parsed: DataFrame) -> DataFrame:
 
 
 def usable(quotes: DataFrame) -> DataFrame:
-    """Quotes with a symbol and a price that is a number other than zero."""
-    return quotes.filter((F.col("symbol") != "") & (F.col("price") != 0) & ~F.isnan("price"))
+    """Quotes with a symbol and a price that is a finite number other than zero."""
+    price = F.col("price")
+    return quotes.filter((F.col("symbol") != "") & (price != 0) & ~F.isnan(price) & (F.abs(price) < float("inf")))
 
 
 # The message fields a quote is made of; the parser skips all others.
@@ -160,35 +162,43 @@ def clean_responses(responses: DataFrame) -> DataFrame:
     )
 
 
-def with_fallback(responses: DataFrame, secondary: DataFrame) -> DataFrame:
-    """Each primary response, or where it has no price the symbol's newest secondary quote, tagged as such.
+def fallback_feed(quotes: DataFrame) -> DataFrame:
+    """The columns of secondary quotes that may stand in for a response, of those with a price."""
+    return quotes.filter(F.col("price") > 0).select("symbol", "event_time", "offset", "price", "previous_close", "volume")
 
-    `secondary` holds one row per symbol (see `latest_quotes`). Responses without either are dropped, as there is
-    no price to publish.
+
+def published(rows: DataFrame) -> DataFrame:
+    """What is sent on: a cleaned response as it is, or where it has no price the quote in `found`, tagged as such.
+
+    Responses without either are dropped, as there is no price to publish.
     """
-    price, previous = F.col("s_price"), F.coalesce("s_previous_close", "s_price")
+    price, previous = F.col("found.price"), F.coalesce("found.previous_close", "found.price")
     change = price - previous
-    feed = secondary.filter(F.col("price") > 0).select(
-        "symbol",
-        F.col("price").alias("s_price"),
-        F.col("previous_close").alias("s_previous_close"),
-        F.col("volume").alias("s_volume"),
-    )
-    primary = clean_responses(responses)
     served = F.col("price").isNotNull()
-    rows = primary.join(feed, "symbol", "left").filter(served | price.isNotNull())
     rate = F.when(previous > 0, change / previous * 100).otherwise(0.0)
-    return rows.select(
+    return rows.filter(served | price.isNotNull()).select(
         "symbol",
         round_half_up(F.when(served, F.col("price")).otherwise(price), 2).alias("price"),
         round_half_up(F.when(served, F.col("change")).otherwise(change), 2).alias("change"),
         round_half_up(F.when(served, F.col("change_rate")).otherwise(rate), 2).alias("change_rate"),
-        F.when(served, F.col("volume")).otherwise(F.coalesce("s_volume", F.lit(0))).alias("volume"),
+        F.when(served, F.col("volume")).otherwise(F.coalesce("found.volume", F.lit(0))).alias("volume"),
         F.when(served, "kis").otherwise(FALLBACK_SOURCE).alias("data_source"),
         "event_time", "offset",
     )
 
 
+def with_fallback(responses: DataFrame, secondary: DataFrame, range_seconds: int = RANGE_SECONDS) -> DataFrame:
+    """Each primary response, or where it has no price the secondary quote of its symbol that was newest at its time.
+
+    Only responses without a price take part in the as-of merge.
+    """
+    primary, feed = clean_responses(responses), fallback_feed(secondary)
+    served = F.col("price").isNotNull()
+    asked = as_of_join(primary.filter(~served), feed, range_seconds=range_seconds)
+    own = primary.filter(served).withColumn("found", F.lit(None).cast(asked.schema["found"].dataType))
+    return published(own.unionByName(asked))
+
+
 # ---- time buckets ---------------------------------------------------------------------------------------------
 
 

@@ -9,11 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from candlewick.functions.numeric import round_half_up, truthy
+from candlewick.functions.hashing import shard_number
 from candlewick.functions.rows import computed_once
 from candlewick.operators.indicators import relative_strength
 from candlewick.sources.bars import last_bars
+from candlewick.sources.snapshots import publish_snapshot, read_snapshot
 
 HISTORY = 50
+CLOSES_SHARDS = 64
 FEWEST_BARS = 20
 
 # Signal codes and the sentence each stands for.
@@ -72,11 +75,34 @@ def _smoothed(values: Column) -> Column:
 def live_indicators(quotes: DataFrame, bars: DataFrame, few_quotes: bool = False) -> DataFrame:
     """Rounded indicators of each quote (one per symbol, column `price`) over its symbol's last 50 closes.
 
-    Symbols with fewer than 20 stored bars give no row. A price of 0 counts as no live price. `few_quotes` first
-    restricts the bars to the quoted symbols, which pays where the quotes are a small, stored batch.
+    `few_quotes` first restricts the bars to the quoted symbols, which pays where the quotes are a small, stored batch.
     """
     wanted = bars.join(quotes.select("symbol"), "symbol", "left_semi") if few_quotes else bars
-    history = recent_closes(wanted)
+    return indicators_over(quotes, recent_closes(wanted))
+
+
+def publish_closes(bars: DataFrame, root: str) -> int:
+    """Publish each symbol's last closes, in folders by shard, for `published_closes`; returns the version."""
+    return publish_snapshot(recent_closes(bars).withColumn("shard", shard_number(F.col("symbol"), CLOSES_SHARDS)), root, ["shard"])
+
+
+def published_closes(quotes: DataFrame, root: str) -> DataFrame:
+    """The closes published last, of the shards the quotes fall in: at most `CLOSES_SHARDS` numbers reach the driver.
+
+    Each call looks up the current version, so a job that calls it in every micro-batch follows the daily store.
+    """
+    closes = read_snapshot(quotes.sparkSession, root)
+    if closes is None:  # nothing published yet
+        return quotes.sparkSession.createDataFrame([], "symbol string, closes array<double>, data_points long")
+    shards = [row[0] for row in quotes.select(shard_number(F.col("symbol"), CLOSES_SHARDS)).distinct().collect()]
+    return closes.where(F.col("shard").isin(shards)).drop("shard")
+
+
+def indicators_over(quotes: DataFrame, history: DataFrame) -> DataFrame:
+    """`live_indicators` over closes as `recent_closes` gives them.
+
+    Symbols with fewer than 20 stored bars give no row. A price of 0 counts as no live price.
+    """
     rows = quotes.join(history.filter(F.col("data_points") >= FEWEST_BARS), "symbol")
     price = F.when(truthy(F.col("price")), F.col("price"))
     rows = rows.withColumn("price", price).withColumn(

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from candlewick.operators import quotes as q, signals
 from candlewick.plans.catalog import register
 from candlewick.plans.inputs import bars, events, latest, messages, quotes, symbols
-from candlewick.session import shared_dir
+from candlewick.session import shared_dir, written
 from candlewick.sources import topics, trades
-from candlewick.streaming import jobs, partials
+from candlewick.streaming import jobs, partials, state
 
 # Look-back used by the expiring queries: the events are minutes apart, so a day stands in for five minutes.
 DAY_SECONDS = 86400
@@ -33,6 +33,20 @@ def event_stream(spark, folder) -> DataFrame:
     return topics.read_folder(spark, f"{folder}/events.parquet*", events(spark, folder).schema)
 
 
+def third(ts) -> Column:
+    """Which of three deliveries an event belongs to: days 1-10, 11-20 or 21-31 of a month."""
+    return F.least(F.floor((F.dayofmonth(ts) - 1) / 10), F.lit(2)).cast("int")
+
+
+def delivered(spark, folder) -> DataFrame:
+    """Stream of the events as they would arrive: three deliveries in order of time, one file a micro-batch."""
+    rows = events(spark, folder)
+    root = f"{shared_dir(spark)}/deliveries/{uuid.uuid4().hex}"
+    for part in range(3):
+        rows.where(third("ts") == part).write.mode("append").parquet(root)
+    return topics.read_folder(spark, root, rows.schema, files=1)
+
+
 def message_stream(spark, folder) -> DataFrame:
     return trades.quote_messages(event_stream(spark, folder))
 
@@ -72,32 +86,35 @@ def usable_quotes(spark, folder):
 # ---- latest state ---------------------------------------------------------------------------------------------
 
 
+def kept(spark, start, kinds) -> DataFrame:
+    """What a keyed-state job holds once its input is used up. `start(root, checkpoint)` starts it."""
+    root = finished(spark, start)
+    return state.newest_state(spark, root.removesuffix("state") + "checkpoint", kinds)
+
+
 def latest_state(spark, folder) -> DataFrame:
-    """State left by the latest-quote stream."""
-    root = finished(spark, lambda state, mark: jobs.latest_quotes_job(message_stream(spark, folder), state, mark, None))
-    return partials.read(spark, root, latest(spark, folder).schema, q.latest_quotes)
+    """The quotes that the latest-quote stream still holds a day after them."""
+    stream = trades.quote_messages(delivered(spark, folder))
+    return kept(spark, lambda root, mark: jobs.latest_state_job(stream, root, mark, DAY_SECONDS, None), quotes(spark, folder).schema)
 
 
 AGE = "event_time > (SELECT max(event_time) FROM latest) - INTERVAL 86400 SECONDS"
 
 
-# In batch form the clock reads the quotes themselves, which needs no per-symbol state; a stream has its state stored.
+# The clock is the newest quote of the state. In batch form the state, one row a symbol, is written once for both, so that the
+# events are read and parsed once; a stream's state is in its checkpoint.
 
 
-def _alive(state: DataFrame, clock: DataFrame) -> DataFrame:
-    return q.alive(state, as_of(clock), DAY_SECONDS)
+def _alive(rows: DataFrame) -> DataFrame:
+    return q.alive(rows, as_of(rows), DAY_SECONDS)
 
 
 def _from_batch(build):
-    return lambda spark, folder: build(latest(spark, folder), quotes(spark, folder))
+    return lambda spark, folder: build(written(latest(spark, folder), "latest"))
 
 
 def _from_stream(build):
-    def run(spark, folder):
-        state = latest_state(spark, folder)
-        return build(state, state)
-
-    return run
+    return lambda spark, folder: build(latest_state(spark, folder))
 
 
 _both("latest_quotes", QUOTE, f"SELECT * FROM latest WHERE {AGE}", "latest")(
@@ -105,8 +122,8 @@ _both("latest_quotes", QUOTE, f"SELECT * FROM latest WHERE {AGE}", "latest")(
 )
 
 
-def _active(state: DataFrame, clock: DataFrame) -> DataFrame:
-    return q.active_symbols(state, as_of(clock), DAY_SECONDS // 4)
+def _active(rows: DataFrame) -> DataFrame:
+    return q.active_symbols(rows, as_of(rows), DAY_SECONDS // 4)
 
 
 _both(
@@ -121,11 +138,12 @@ _both(
     "SELECT * FROM latest WHERE event_time >= (SELECT max(event_time) FROM latest) - INTERVAL 172800 SECONDS", "latest",
 )
 def purge_stale(spark, folder):
-    return q.purge_stale(latest(spark, folder), as_of(quotes(spark, folder)), 2 * DAY_SECONDS)
+    rows = written(latest(spark, folder), "latest")
+    return q.purge_stale(rows, as_of(rows), 2 * DAY_SECONDS)
 
 
-def _summary(state: DataFrame, clock: DataFrame) -> DataFrame:
-    return q.market_summary(state, as_of(clock), DAY_SECONDS)
+def _summary(rows: DataFrame) -> DataFrame:
+    return q.market_summary(rows, as_of(rows), DAY_SECONDS)
 
 
 SUMMARY = "active_symbols_count:i total_volume:i average_change_rate:2 positive_count:i negative_count:i"
@@ -218,13 +236,37 @@ def scored_quotes(spark, folder) -> DataFrame:
     return signals.quote_signals(latest(spark, folder).select("symbol", "price", "event_time", "offset"), bars(spark, folder))
 
 
+def scored_partials(spark, folder) -> str:
+    """Folder of a finished signal stream over the closes published before it."""
+    closes = f"{shared_dir(spark)}/closes/{uuid.uuid4().hex}"
+    signals.publish_closes(bars(spark, folder), closes)
+    return finished(spark, lambda root, mark: jobs.signals_job(message_stream(spark, folder), closes, root, mark, None))
+
+
 def scored_state(spark, folder) -> DataFrame:
     """State left by the signal stream: the newest scored quote of each symbol."""
-    history = bars(spark, folder)
-    root = finished(
-        spark, lambda state, mark: jobs.signals_job(message_stream(spark, folder), history, state, mark, None)
-    )
-    return partials.read(spark, root, scored_quotes(spark, folder).schema, q.latest_quotes)
+    return partials.read(spark, scored_partials(spark, folder), scored_quotes(spark, folder).schema, q.latest_quotes)
+
+
+def indicator_state(spark, folder) -> DataFrame:
+    """Scored quotes of the stream of what the signal job wrote, those not older than the hour of their expiry."""
+    kinds = scored_quotes(spark, folder).schema
+    closes = f"{shared_dir(spark)}/closes/{uuid.uuid4().hex}"
+    signals.publish_closes(bars(spark, folder), closes)
+    messages = trades.quote_messages(delivered(spark, folder))
+    root = finished(spark, lambda root, mark: jobs.signals_job(messages, closes, root, mark, None))
+    scored = topics.read_folder(spark, f"{root}/partials", kinds, files=8)
+    held = kept(spark, lambda root, mark: jobs.indicator_state_job(scored, root, mark, q.INDICATOR_TTL, None), kinds)
+    return _flat(q.alive(held, as_of(held), q.INDICATOR_TTL))
+
+
+@register(
+    "indicator_state_stream", "symbol:s event_time:t " + SCORED.removeprefix("symbol:s "),
+    """SELECT scored.*, event_time FROM scored JOIN latest USING (symbol)
+       WHERE event_time > (SELECT max(event_time) FROM scored JOIN latest USING (symbol)) - INTERVAL 3600 SECONDS""", "bars latest", LIVE,
+)
+def indicator_state_stream(spark, folder):
+    return indicator_state(spark, folder)
 
 
 @register("live_indicators", INDICATORS, "SELECT * FROM live", "bars latest", LIVE)
@@ -236,21 +278,27 @@ _both("quote_signals", SCORED, "SELECT * FROM scored", "bars latest", LIVE)(
     lambda spark, folder: _flat(scored_quotes(spark, folder)), lambda spark, folder: _flat(scored_state(spark, folder))
 )
 
-# Every group agrees only rarely, so the registered query asks for a strength of more than 10 either way.
-STRONG = 10
-_both(
-    "strong_signals", "symbol:s strength:i signals:s",
-    f"SELECT * FROM scored WHERE abs(strength) > {STRONG} AND signals <> ''", "bars latest", LIVE,
-)(
-    lambda spark, folder: _flat(signals.strong_signals(scored_quotes(spark, folder), STRONG)),
-    lambda spark, folder: _flat(signals.strong_signals(scored_state(spark, folder), STRONG)),
-)
+def _strong(name: str, strength: int, build) -> None:
+    _both(
+        name, "symbol:s strength:i signals:s",
+        f"SELECT * FROM scored WHERE abs(strength) > {strength} AND signals <> ''", "bars latest", LIVE,
+    )(lambda spark, folder: build(scored_quotes(spark, folder), strength), lambda spark, folder: build(scored_state(spark, folder), strength))
+
+
+def _stronger(rows: DataFrame, strength: int) -> DataFrame:
+    return _flat(signals.strong_signals(rows, strength))
+
+
+# A quote stands far from a day's close here and all groups agree only rarely, so a strength above 30 is mostly not reached; the
+# lower limit shows the rows.
+_strong("strong_signals", 10, _stronger)
+_strong("strong_signals_30", 30, _stronger)
 
 
 # ---- fallback and routing -------------------------------------------------------------------------------------
 
-FALLBACK = """feed AS (SELECT symbol, price, previous_close, volume FROM quotes WHERE topic = 'secondary-quotes'
-      QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_time DESC, "offset" DESC) = 1),
+FALLBACK = """feed AS (SELECT symbol, event_time AS quoted_at, price, previous_close, volume FROM quotes
+      WHERE topic = 'secondary-quotes' AND price > 0),
   responses AS (
     SELECT concat('S', user_id) AS symbol, ts AS event_time, event_id AS "offset", value >= 5 AND value <= 300 AS good,
            floor((500 + value * 80) * 100 + 0.5) / 100 AS price,
@@ -264,12 +312,12 @@ FALLBACK_SQL = """
                 ELSE 0 END AS change_rate,
            CASE WHEN good THEN "offset" ELSE f.volume END AS volume,
            CASE WHEN good THEN 'kis' ELSE 'kis_via_yfinance' END AS data_source, event_time, "offset"
-    FROM responses r LEFT JOIN feed f USING (symbol) WHERE good OR f.price > 0"""
+    FROM responses r ASOF LEFT JOIN feed f ON r.symbol = f.symbol AND r.event_time >= f.quoted_at
+    WHERE good OR f.price IS NOT NULL"""
 
 
 def secondary_feed(spark, folder) -> DataFrame:
-    feed = quotes(spark, folder).filter(F.col("topic") == trades.SECONDARY_TOPIC)
-    return q.latest_quotes(feed)
+    return quotes(spark, folder).filter(F.col("topic") == trades.SECONDARY_TOPIC)
 
 
 def fallback(spark, folder) -> DataFrame:
@@ -277,14 +325,11 @@ def fallback(spark, folder) -> DataFrame:
 
 
 def fallback_state(spark, folder) -> DataFrame:
-    feed = secondary_feed(spark, folder)
-    root = finished(
-        spark,
-        lambda state, mark: jobs.rows_job(
-            trades.primary_responses(event_stream(spark, folder)), lambda batch: q.with_fallback(batch, feed), state, mark, None
-        ),
-    )
-    return partials.read(spark, root, fallback(spark, folder).schema, lambda rows: rows)
+    """Rows that the fallback stream sent on, each with the quotes that had come by then."""
+    stream = delivered(spark, folder)
+    responses, feed = trades.primary_responses(stream), trades.quote_messages(stream)
+    root = finished(spark, lambda root, mark: jobs.fallback_job(responses, feed, trades.SECONDARY_TOPIC, root, mark, None))
+    return spark.read.schema(fallback(spark, folder).schema).parquet(root)
 
 
 _both(
@@ -379,3 +424,75 @@ _both(
                CASE WHEN change_rate > 0 THEN '#36a64f' WHEN change_rate < 0 THEN '#d72b3f' ELSE '#9e9ea6' END AS color
         FROM quotes WHERE abs(change_rate) >= {CHANGE_LIMIT} ORDER BY event_time DESC, "offset" DESC LIMIT 100""", "quotes",
 )(lambda spark, folder: q.last_alerts(_alerts(quotes(spark, folder))), alert_state)
+
+
+# ---- keyed alerts, batch figures, event-time state ------------------------------------------------------------
+
+
+ALERT_COLUMNS = "symbol:s event_time:t title:s color:s"
+ALERTS = f"""raised AS (SELECT symbol, event_time, "offset", '[price move] ' || symbol || ': $' || format('{{:,.2f}}', price) || ' ('
+               || format('{{:+.2f}}', change_rate) || '%)' AS title,
+               CASE WHEN change_rate > 0 THEN '#36a64f' WHEN change_rate < 0 THEN '#d72b3f' ELSE '#9e9ea6' END AS color
+        FROM quotes WHERE abs(change_rate) >= {CHANGE_LIMIT})"""
+
+
+def keyed_alerts(rows: DataFrame) -> DataFrame:
+    return q.alive(rows, as_of(rows), q.ALERT_TTL)
+
+
+def keyed_alert_state(spark, folder) -> DataFrame:
+    messages = trades.quote_messages(delivered(spark, folder))
+    start = lambda root, mark: jobs.alert_state_job(messages, "price move", CHANGE_LIMIT, root, mark, q.ALERT_TTL, None)
+    return keyed_alerts(kept(spark, start, _alerts(quotes(spark, folder)).schema))
+
+
+_both(
+    "keyed_alerts", ALERT_COLUMNS,
+    """SELECT * FROM raised WHERE event_time > (SELECT max(event_time) FROM raised) - INTERVAL 86400 SECONDS
+       QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_time DESC, "offset" DESC) = 1""", "quotes", ALERTS,
+)(lambda spark, folder: keyed_alerts(written(q.latest_quotes(_alerts(quotes(spark, folder))), "alerts")), keyed_alert_state)
+
+
+@register(
+    "batch_audit_stream", "rows:i first_event:t last_event:t",
+    """SELECT count(*) AS rows, min(ts) AS first_event, max(ts) AS last_event FROM events
+       GROUP BY least(floor((dayofmonth(ts) - 1) / 10), 2)""",
+)
+def batch_audit_stream(spark, folder):
+    """One row for each delivery, summed over the micro-batches it took: a small one is a single batch."""
+    messages = trades.quote_messages(delivered(spark, folder))
+    root = finished(spark, lambda root, mark: jobs.latest_quotes_job(messages, root, mark, None))
+    figures = partials.audit(spark, root).groupBy(third("first_event").alias("third"))
+    return figures.agg(F.sum("rows").alias("rows"), F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"))
+
+
+def _all_of(spark, stream: DataFrame, name: str) -> DataFrame:
+    """Everything an append stream gives until its input is used up."""
+    root = finished(spark, lambda root, mark: state.start(stream, root, mark, None))
+    return spark.read.schema(stream.schema).parquet(root)
+
+
+@register(
+    "distinct_buckets_stream", "symbol:s bucket:t price:2 offset:i",
+    """SELECT symbol, time_bucket(INTERVAL 30 SECONDS, event_time) AS bucket, price, "offset" FROM quotes
+       QUALIFY row_number() OVER (PARTITION BY symbol, bucket ORDER BY event_time, "offset") = 1""", "quotes",
+)
+def distinct_buckets_stream(spark, folder):
+    """The event-time form of the bucket filter. Rows of a bucket pass in the order they are read, so each batch is sorted by
+    its own first rows beforehand: a bucket never spans two deliveries."""
+    rows = q.read_quotes(trades.quote_messages(delivered(spark, folder)))
+    return _all_of(spark, jobs.distinct_buckets(rows), "buckets")
+
+
+@register(
+    "call_sessions_stream", "name:s first_call:t expires:t calls:i",
+    """WITH sessions AS (SELECT name, min(ts) AS first_call, max(ts) + INTERVAL 60 SECONDS AS expires, count(*) AS calls FROM (
+         SELECT *, sum(starts) OVER (PARTITION BY name ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM (
+           SELECT event_type AS name, ts, event_id,
+                  CASE WHEN ts < lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) + INTERVAL 60 SECONDS
+                       THEN 0 ELSE 1 END AS starts FROM events)) GROUP BY name, session)
+       SELECT * FROM sessions WHERE date_trunc('milliseconds', expires) <= date_trunc('milliseconds', (SELECT max(ts) FROM events) - INTERVAL 600 SECONDS)""",
+)
+def call_sessions_stream(spark, folder):
+    """Sessions that the watermark, ten minutes behind the newest call, has closed."""
+    return _all_of(spark, jobs.session_counts(calls(delivered(spark, folder))), "sessions")

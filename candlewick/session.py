@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -27,6 +28,13 @@ def build_session(app: str = "candlewick", master: str | None = None, **settings
     return builder.getOrCreate()
 
 
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """`frame` written to the shared folder and read again, for results that are used more than once."""
+    path = f"{shared_dir(frame.sparkSession)}/written/{label}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 _local_dir: dict[str, str] = {}
 
 

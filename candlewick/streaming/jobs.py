@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.operators import quotes as q
-from candlewick.operators.signals import quote_signals
-from candlewick.streaming import partials
+from candlewick.operators.signals import indicators_over, published_closes, score
+from candlewick.streaming import partials, state
 
 # How late a quote may come in the two jobs that keep event-time state. The partial-folder jobs need no limit.
 WATERMARK = "10 minutes"
@@ -35,16 +35,49 @@ def latest_quotes_job(messages: DataFrame, root: str, checkpoint: str, seconds:
     )
 
 
+def latest_state_job(messages: DataFrame, root: str, checkpoint: str, ttl: int = q.QUOTE_TTL, seconds: int | None = 30) -> StreamingQuery:
+    """Newest quote per symbol, gone `ttl` seconds after its event time. `state.newest_state` reads it from the checkpoint."""
+    return state.newest_job(q.read_quotes(messages), root, checkpoint, ttl, seconds)
+
+
+def alert_state_job(
+    messages: DataFrame, kind: str, min_change: float, root: str, checkpoint: str, ttl: int = q.ALERT_TTL, seconds: int | None = 30
+) -> StreamingQuery:
+    """Newest alert per symbol, kept for a day."""
+    return state.newest_job(q.alerts(q.read_quotes(messages), kind, min_change), root, checkpoint, ttl, seconds)
+
+
+def indicator_state_job(
+    scored: DataFrame, root: str, checkpoint: str, ttl: int = q.INDICATOR_TTL, seconds: int | None = 30
+) -> StreamingQuery:
+    """Newest scored quote per symbol, kept for an hour. `scored` streams what `signals_job` writes."""
+    return state.newest_job(scored, root, checkpoint, ttl, seconds)
+
+
+def fallback_job(
+    responses: DataFrame, messages: DataFrame, topic: str, root: str, checkpoint: str, seconds: int | None = 30
+) -> StreamingQuery:
+    """Each primary response, or the quote of `topic` that was newest at its time; only responses without a price meet state."""
+    primary = q.clean_responses(responses)
+    feed = q.fallback_feed(q.read_quotes(messages).filter(F.col("topic") == topic))
+    served = F.col("price").isNotNull()
+    asked = state.as_of_stream(primary.filter(~served), feed, WATERMARK)
+    own = primary.filter(served).withColumn("found", F.lit(None).cast(asked.schema["found"].dataType))
+    return state.start(q.published(own.unionByName(asked)), root, checkpoint, seconds)
+
+
 def signals_job(
-    messages: DataFrame, bars: DataFrame, root: str, checkpoint: str, seconds: int | None = 30
+    messages: DataFrame, closes_root: str, root: str, checkpoint: str, seconds: int | None = 30
 ) -> StreamingQuery:
-    """Indicators and score of each symbol's newest quote in the batch."""
+    """Indicators and score of each symbol's newest quote in the batch, over the closes that are published when it runs."""
+
+    def newest(batch: DataFrame) -> DataFrame:
+        return q.latest_quotes(q.read_quotes(batch)).select("symbol", "price", "event_time", "offset")
 
-    def reduce(batch: DataFrame) -> DataFrame:
-        newest = q.latest_quotes(q.read_quotes(batch)).select("symbol", "price", "event_time", "offset")
-        return quote_signals(newest, bars, few_quotes=True)
+    def scored(quotes: DataFrame) -> DataFrame:
+        return score(indicators_over(quotes, published_closes(quotes, closes_root)))
 
-    return partials.sink(messages, reduce, root, checkpoint, seconds)
+    return partials.sink(messages, newest, root, checkpoint, seconds, scored)
 
 
 def buckets_job(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -19,30 +19,57 @@ from candlewick.sources.snapshots import publish_snapshot, read_snapshot
 Reduce = Callable[[DataFrame], DataFrame]
 
 
-def sink(stream: DataFrame, reduce: Reduce, root: str, checkpoint: str, seconds: int | None = 30) -> StreamingQuery:
-    """Start writing partials; `seconds` is the trigger interval, None processes what is there and ends."""
+AUDIT = "rows bigint, first_event timestamp, last_event timestamp"
+
+
+def sink(
+    stream: DataFrame, reduce: Reduce, root: str, checkpoint: str, seconds: int | None = 30, finish: Reduce | None = None
+) -> StreamingQuery:
+    """Start writing partials; `seconds` is the trigger interval, None processes what is there and ends.
+
+    With `finish` the reduced rows are written first and `finish` of the written ones is the partial, for steps that read
+    their input more than once. Each batch that has rows leaves one row of figures, taken while it is reduced (`audit`).
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        reduce(batch).write.mode("overwrite").parquet(f"{root}/partials/batch_id={batch_id}")
+        folder, seen = f"batch_id={batch_id}", Observation()
+        time = F.col("event_time").cast("timestamp") if "event_time" in batch.columns else F.lit(None).cast("timestamp")
+        rows = reduce(batch.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.min(time).alias("first_event"), F.max(time).alias("last_event")))
+        if finish is None:
+            rows.write.mode("overwrite").parquet(f"{root}/partials/{folder}")
+        else:
+            rows.write.mode("overwrite").parquet(f"{root}/reduced/{folder}")
+            stored = batch.sparkSession.read.schema(rows.schema).parquet(f"{root}/reduced/{folder}")
+            finish(stored).write.mode("overwrite").parquet(f"{root}/partials/{folder}")
+        found = seen.get
+        if found["rows"]:
+            one = batch.sparkSession.createDataFrame([(found["rows"], found["first_event"], found["last_event"])], AUDIT)
+            one.write.mode("overwrite").parquet(f"{root}/audit/{folder}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if seconds is None else writer.trigger(processingTime=f"{seconds} seconds")
     return writer.start()
 
 
-def _partials(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """All partial folders with their `batch_id`."""
+def _folders(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All batch folders below a path with their `batch_id`."""
     stored = StructType([*schema.fields, StructField("batch_id", LongType())])
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/partials")
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    if not root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
         return spark.createDataFrame([], stored)
-    return spark.read.schema(stored).parquet(f"{root}/partials")
+    return spark.read.schema(stored).parquet(path)
+
+
+def audit(spark: SparkSession, root: str) -> DataFrame:
+    """(batch_id, rows, first_event, last_event) of each micro-batch that had rows. A batch that ran again overwrote its own row."""
+    return _folders(spark, f"{root}/audit", StructType.fromDDL(AUDIT)).select("batch_id", "rows", "first_event", "last_event")
 
 
 def _rows(spark: SparkSession, root: str, schema: StructType, upto: int | None = None) -> DataFrame:
     """The last folded snapshot and the partials after it, up to a batch if given."""
-    recent = _partials(spark, root, schema)
+    recent = _folders(spark, f"{root}/partials", schema)
     if upto is not None:
         recent = recent.filter(F.col("batch_id") <= upto)
     folded = read_snapshot(spark, f"{root}/folded")

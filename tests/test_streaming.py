@@ -2,13 +2,16 @@
 
 import datetime as dt
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from candlewick.operators import quotes as q
+from candlewick.operators import quotes as q, signals
+from candlewick.operators.asof import as_of_join
 from candlewick.sources import topics
-from candlewick.streaming import jobs, partials
+from candlewick.streaming import jobs, partials, state
 
 START = dt.datetime(2024, 1, 1)
 ENVELOPE = "topic string, event_time timestamp_ntz, offset bigint, value string"
@@ -161,6 +164,20 @@ def test_expiry(spark):
     assert {r["symbol"] for r in q.purge_stale(state, now).collect()} == {"A", "B", "C", "E"}
 
 
+def responses(spark, rows):
+    """Price responses (symbol, last, seconds, offset) without other figures."""
+    return spark.createDataFrame(
+        [(symbol, last, "1", "1", "1", None if at is None else START + dt.timedelta(seconds=at), n) for symbol, last, at, n in rows],
+        "symbol string, last string, diff string, rate string, tvol string, event_time timestamp_ntz, offset bigint")
+
+
+SECONDARY = "symbol string, event_time timestamp_ntz, offset bigint, price double, previous_close double, volume bigint"
+
+
+def secondary(spark, rows):
+    return spark.createDataFrame([(s, START + dt.timedelta(seconds=at), n, *x) for s, at, n, *x in rows], SECONDARY)
+
+
 def test_fallback(spark):
     primary = spark.createDataFrame(
         [
@@ -168,16 +185,138 @@ def test_fallback(spark):
             ("D", "x", "1", "1", "1"), ("E", "0", " ", None, ""), ("F", "7", " ", None, ""),
         ],
         "symbol string, last string, diff string, rate string, tvol string",
-    ).withColumn("event_time", F.lit(START)).withColumn("offset", F.lit(1))
-    secondary = spark.createDataFrame(
-        [("A", 99.0, 90.0, 1), ("B", 11.0, 10.0, 2), ("C", 12.0, None, 3), ("D", 0.0, 1.0, 4)],
-        "symbol string, price double, previous_close double, volume bigint",
-    )
+    ).withColumn("event_time", F.lit(START).cast("timestamp_ntz")).withColumn("offset", F.lit(1))
+    feed = secondary(spark, [("A", -9, 1, 99.0, 90.0, 1), ("B", -9, 2, 11.0, 10.0, 2), ("C", -9, 3, 12.0, None, 3), ("D", -9, 4, 0.0, 1.0, 4)])
     found = {r["symbol"]: (r["price"], r["change"], r["change_rate"], r["volume"], r["data_source"])
-             for r in q.with_fallback(primary, secondary).collect()}
+             for r in q.with_fallback(primary, feed).collect()}
     assert found == {
         "A": (10.5, 0.5, 5.0, 100, "kis"),
         "B": (11.0, 1.0, 10.0, 2, "kis_via_yfinance"),
         "C": (12.0, 0.0, 0.0, 3, "kis_via_yfinance"),
         "F": (7.0, 0.0, 0.0, 0, "kis"),
     }
+
+
+@pytest.mark.parametrize("seconds", [7, 60, 100_000])
+def test_as_of_join_matches_a_plain_search(spark, seconds):
+    """Any cut into ranges gives the newest row at the time, equal times included; one key holds most rows."""
+    pick = random.Random(seconds)
+    key = lambda: pick.choice(["HOT"] * 6 + ["A", "B", "C", None])
+    left = [(key(), pick.choice([None, *range(300)]), i) for i in range(400)]
+    right = [(key(), pick.choice([None, *range(50, 300)]), i) for i in range(300)]
+    time = lambda at: None if at is None else START + dt.timedelta(seconds=at)
+    kind = "symbol string, event_time timestamp_ntz, n long"
+    tables = [spark.createDataFrame([(k, time(t), n) for k, t, n in rows], kind) for rows in (left, right)]
+    found = as_of_join(*tables, range_seconds=seconds).collect()
+    assert len(found) == len(left)
+    for row in found:
+        k, t, n = next(x for x in left if x[2] == row["n"])
+        known = [(b, m) for a, b, m in right if a == k and k is not None and b is not None and t is not None and b <= t]
+        assert (row["found"]["n"] if row["found"] else None) == (max(known)[1] if known else None)
+
+
+def test_as_of_spreads_a_hot_key(spark):
+    """No window goes over a key alone but the one over its ranges."""
+    quotes = secondary(spark, [("A", 0, 1, 1.0, 1.0, 1)])
+    text = as_of_join(quotes, quotes)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in text and text.count("hashpartitioning(symbol") >= 2 and "SinglePartition" not in text
+
+
+def folder_stream(spark, folder, frame, files=1):
+    return topics.read_folder(spark, str(folder), frame.schema, files)
+
+
+def quotes_at(spark, rows):
+    """Messages (symbol, price, seconds, offset)."""
+    return spark.createDataFrame([message(n, at, symbol, price) for symbol, price, at, n in rows], ENVELOPE)
+
+
+def deliver(frame, folder):
+    frame.coalesce(1).write.mode("append").parquet(str(folder))
+
+
+def test_keyed_state_expires_and_survives_restarts(spark, tmp_path):
+    source, root, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
+    kinds = q.read_quotes(quotes_at(spark, [("A", 1.0, 0, 1)])).schema
+
+    def step(*deliveries):
+        for rows in deliveries:
+            deliver(quotes_at(spark, rows), source)
+        run(lambda: jobs.latest_state_job(folder_stream(spark, source, quotes_at(spark, [])), root, mark, 300, None))
+        return {r["symbol"]: (r["price"], r["offset"]) for r in state.newest_state(spark, mark, kinds).collect()}
+
+    assert step([("A", 1.0, 0, 1), ("A", 2.0, 10, 2), ("B", 3.0, 5, 3)]) == {"A": (2.0, 2), "B": (3.0, 3)}
+    # A late row of C counts, an older one of A does not; equal times go to the later offset. B expires at 305, A at 310.
+    assert step([("C", 4.0, 100, 5), ("B", 5.0, 5, 6), ("A", 9.0, 9, 7)], [("D", 6.0, 304, 8)]) == {
+        "A": (2.0, 2), "B": (5.0, 6), "C": (4.0, 5), "D": (6.0, 8)}
+    assert step([("D", 7.0, 309, 9)]) == {"A": (2.0, 2), "C": (4.0, 5), "D": (7.0, 9)}
+    # Older than the state lives: not taken. C is renewed before its time.
+    assert step([("E", 1.0, 1, 10), ("C", 8.0, 399, 11)]) == {"C": (8.0, 11), "D": (7.0, 9)}
+    assert step([("F", 1.0, 5000, 12)]) == {"F": (1.0, 12)}
+    log = spark.read.parquet(root).where("not live").select("symbol", "price").collect()
+    assert sorted(map(tuple, log)) == [("A", 2.0), ("B", 5.0), ("C", 8.0), ("D", 7.0)]
+
+
+def test_fallback_stream_does_not_see_the_future(spark, tmp_path):
+    asked, told = tmp_path / "asked", tmp_path / "told"
+    schema = responses(spark, []).schema
+    deliver(responses(spark, [("A", "", 50, 1), ("A", "5", 60, 2), ("B", "", 10, 3), ("A", "", 20, 4)]), asked)
+    topic = lambda rows: quotes_at(spark, rows)
+    deliver(topic([("A", 11.0, 20, 1), ("A", 12.0, 49, 2), ("A", 13.0, 51, 3), ("B", 9.0, 11, 4)]), told)
+    root, mark = str(tmp_path / "out"), str(tmp_path / "mark")
+
+    def step():
+        run(lambda: jobs.fallback_job(
+            topics.read_folder(spark, str(asked), schema), topics.read_folder(spark, str(told), topic([]).schema), "t", root, mark, None))
+        return sorted((r["offset"], r["price"], r["data_source"]) for r in spark.read.parquet(root).collect())
+
+    first = [(1, 12.0, "kis_via_yfinance"), (2, 5.0, "kis"), (4, 11.0, "kis_via_yfinance")]
+    assert step() == first
+    # After a restart the state still knows what came before.
+    deliver(responses(spark, [("A", "", 2000, 5), ("B", "", 1000, 6), ("A", "", 1500, 7)]), asked)
+    deliver(topic([("A", 14.0, 1501, 5)]), told)
+    assert step() == sorted([*first, (5, 14.0, "kis_via_yfinance"), (6, 9.0, "kis_via_yfinance"), (7, 13.0, "kis_via_yfinance")])
+
+
+def closes(spark, level, symbols=("A", "B")):
+    days = [(s, dt.date(2024, 1, 1) + dt.timedelta(days=i), level + i % 3) for s in symbols for i in range(30)]
+    return spark.createDataFrame(days, "symbol string, date date, close double")
+
+
+def test_signals_follow_the_published_closes(spark, tmp_path):
+    source, root, mark, published = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark"), str(tmp_path / "closes")
+    schema = signals.quote_signals(
+        q.latest_quotes(q.read_quotes(quotes_at(spark, []))).select("symbol", "price", "event_time", "offset"), closes(spark, 1.0)).schema
+
+    def step(*rows):
+        deliver(quotes_at(spark, rows), source)
+        run(lambda: jobs.signals_job(folder_stream(spark, source, quotes_at(spark, [])), published, root, mark, None))
+        return {(r["symbol"], r["offset"]): r["sma_20"] for r in partials.read(spark, root, schema, lambda x: x).collect()}
+
+    assert step(("A", 10.0, 0, 1)) == {}  # nothing published yet
+    signals.publish_closes(closes(spark, 10.0), published)
+    low = step(("A", 10.0, 1, 2), ("C", 1.0, 1, 3))
+    assert set(low) == {("A", 2)} and 10 < low["A", 2] < 13
+    signals.publish_closes(closes(spark, 100.0), published)
+    both = step(("A", 10.0, 2, 4), ("B", 10.0, 2, 5))
+    assert both["A", 2] == low["A", 2] and both["A", 4] > 90 and both["B", 5] > 90
+    newest = spark.createDataFrame([("A", 1.0)], "symbol string, price double")
+    text = signals.published_closes(newest, published)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*shard", text)  # other shards are not read
+
+
+def test_audit_counts_each_batch_once(spark, tmp_path):
+    source, root, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
+    for rows in ([("A", 1.0, 0, 1), ("B", 1.0, 7, 2)], [], [("A", 1.0, 3, 3)]):
+        deliver(quotes_at(spark, rows), source)
+    start = lambda: jobs.latest_quotes_job(folder_stream(spark, source, quotes_at(spark, [])), root, mark, None)
+    run(start)
+    figures = lambda: [(r["rows"], r["first_event"].second, r["last_event"].second) for r in partials.audit(spark, root).orderBy("batch_id").collect()]
+    assert figures() == [(2, 0, 7), (1, 3, 3)]
+    # The last batch runs again, as after a failure between its writes and its commit.
+    commits = sorted((tmp_path / "mark" / "commits").glob("[0-9]*"), key=lambda x: int(x.name))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    run(start)
+    assert figures() == [(2, 0, 7), (1, 3, 3)]
+    assert partials.audit(spark, str(tmp_path / "nowhere")).count() == 0
