@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from candlewick.functions.numeric import ratio
+from candlewick.operators.selection import upper_median
 
 # Marker texts of the log lines, in order of precedence, and the class each line counts for.
 LOG_MARKERS = [
@@ -107,41 +108,6 @@ def response_stats(lines: DataFrame) -> DataFrame:
     return figures.withColumn("median_seconds", upper_median(times, "seconds").select("upper_median").scalar())
 
 
-def upper_median(rows: DataFrame, value: str, by: list[str] | None = None, bucket: float = 0.01) -> DataFrame:
-    """Exact element n // 2 (0-based) of each group's sorted values.
-
-    Equal values are counted before anything is ordered. Bucket counts then locate the bucket of width `bucket`
-    holding the median and only that bucket's values are ranked, so no task sees a whole group.
-    """
-    by = by or []
-    group = by or ["__all"]
-    counted = rows if by else rows.withColumn("__all", F.lit(1))
-    values = (
-        counted.filter(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", F.floor(F.col("v") / bucket))
-    )
-    in_order = Window.partitionBy(*group).orderBy("bucket")
-    until = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    whole = F.sum("n").over(Window.partitionBy(*group))
-    buckets = (
-        values.groupBy(*group, "bucket").agg(F.sum("n").alias("n"))
-        .select(*group, "bucket", (until - F.col("n")).alias("before"), F.floor(whole / 2).alias("target"), until.alias("until"))
-        .filter((F.col("before") <= F.col("target")) & (F.col("target") < F.col("until")))
-        .drop("until")
-    )
-    ranked = Window.partitionBy(*group).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        values.join(buckets, [*group, "bucket"])
-        .withColumn("reached", F.col("before") + F.sum("n").over(ranked))
-        .filter(F.col("reached") > F.col("target"))
-        .groupBy(*group)
-        .agg(F.min("v").alias("upper_median"))
-        .select(*by, "upper_median")
-    )
-
-
 # ---- call and request logs ------------------------------------------------------------------------------------
 
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import uuid
+
+from pyspark.sql import DataFrame, functions as F
 
 from candlewick.operators import declared, indicators as ind, recursive
+from candlewick.plans import daily
 from candlewick.plans.catalog import BY_DATE, over, register
 from candlewick.plans.inputs import bars, weekly
+from candlewick.session import shared_dir
 from candlewick.sources.files import DEFAULT_REGISTRY, registry_entries
+from candlewick.sources.snapshots import read_months
 
 KEY = "symbol:s date:d "
 
@@ -271,6 +276,40 @@ def indicator_table(spark, folder):
     return ind.indicator_table(bars(spark, folder))
 
 
+def deliveries(rows: DataFrame) -> list[DataFrame]:
+    """The bars as three deliveries, `line` being the order in which rows came.
+
+    The first ends in June 1997 and has wrong prices for a fifth of the symbols, of which it lacks some days; the second begins
+    a month earlier and holds a seventh of its bars twice, first with wrong prices; the third is old: what the first got wrong.
+    """
+    prices = ["open", "high", "low", "close"]
+    wrong = lambda bars: bars.withColumns({name: F.col(name) * 1.5 for name in prices})
+    day = F.datediff("date", F.lit("1990-01-01"))
+    fifth = F.substring("symbol", 2, 20).cast("long") % 5 == 0
+    lost, twice = fifth & (day % 50 == 0), day % 7 == 0
+    early, late = rows.where("date < '1997-07-01'"), rows.where("date >= '1997-06-01'")
+    line = lambda bars, n: bars.withColumn("line", F.lit(n))
+    return [
+        line(wrong(early.where(fifth & ~lost)).unionByName(early.where(~fifth)), 0),
+        line(wrong(late.where(twice)), 0).unionByName(line(late, 1)),
+        line(early.where(fifth), 0),
+    ]
+
+
+@register(
+    "daily_store",
+    KEY + "bb_upper:6~ bb_middle:6~ bb_lower:6~ " + MACD_WALKED + " rsi:6~ sma_5:6~ sma_20:6~ sma_60:6~ ema_5:6~ ema_20:6~ ema_60:6~ "
+    "cci:3~ obv:i ma_112:6~ ma_224:6~ ma_448:6~",
+    TABLE_SQL, "bars", MOVES,
+)
+def daily_store(spark, folder):
+    """The stored indicators after overlapping, repeated and old deliveries."""
+    root = f"{shared_dir(spark)}/daily/{uuid.uuid4().hex}"
+    for delivery in deliveries(bars(spark, folder)):
+        daily.store_delivery(delivery, f"{root}/bars", f"{root}/indicators", "line")
+    return read_months(spark, f"{root}/indicators", ind.indicator_table(bars(spark, folder)).schema)
+
+
 LATEST_WALK = f"""{NUMBERED}, walk AS (
     SELECT symbol, date, i, close AS fn, 1e0 AS fd, close AS sn, 1e0 AS sd, 0e0 AS gn, 1e0 AS gd,
            {', '.join(f'close AS n{p}, 1e0 AS d{p}' for p in RECURSIVE_PERIODS)} FROM numbered WHERE i = 1

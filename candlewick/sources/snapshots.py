@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from candlewick.session import shared_dir
@@ -64,10 +64,14 @@ def publish_snapshot(table: DataFrame, root: str, partition_by: list[str] | None
 
 
 def write_months(table: DataFrame, root: str) -> None:
-    """Write a date table in month folders, replacing the months it holds and no others."""
+    """Write a date table in month folders, replacing the months it holds and no others.
+
+    Small months become one file each and Spark splits large ones; files are in order of symbol, so that a filter on it skips
+    most of their row groups."""
     (
-        table.withColumn("month", F.date_format("date", "yyyy-MM"))
-        .repartition("month", "symbol")
+        table.withColumn("month", month_of())
+        .hint("rebalance", "month")
+        .sortWithinPartitions("month", "symbol", "date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("month")
@@ -75,6 +79,19 @@ def write_months(table: DataFrame, root: str) -> None:
     )
 
 
+def read_months(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """A month-foldered table with its `month`; empty where nothing was written yet. A filter on `month` reads those folders only."""
+    stored = StructType([*schema.fields, StructField("month", StringType())])
+    jvm, files = _file_system(spark, root)
+    if not files.exists(jvm.org.apache.hadoop.fs.Path(root)):
+        return spark.createDataFrame([], stored)
+    return spark.read.schema(stored).parquet(root)
+
+
+def month_of(day: str = "date") -> Column:
+    return F.date_format(day, "yyyy-MM")
+
+
 def merge_months(incoming: DataFrame, root: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
     """Merge rows into a month-foldered table, reading and rewriting only the months the rows fall in.
 
@@ -83,8 +100,8 @@ def merge_months(incoming: DataFrame, root: str, merge: Callable[[DataFrame, Dat
     """
     spark = incoming.sparkSession
     # A list of months: bounded by the calendar, twelve entries a year.
-    months = [row[0] for row in incoming.select(F.date_format("date", "yyyy-MM")).distinct().collect()]
-    stored = spark.read.schema(StructType([*incoming.schema.fields, StructField("month", StringType())])).parquet(root)
+    months = [row[0] for row in incoming.select(month_of()).distinct().collect()]
+    stored = read_months(spark, root, incoming.schema)
     merged = merge(stored.filter(F.col("month").isin(months)).drop("month"), incoming)
     staged = f"{shared_dir(spark)}/staged/{uuid.uuid4().hex}"
     merged.write.parquet(staged)

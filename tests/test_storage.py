@@ -3,10 +3,13 @@
 import datetime as dt
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from candlewick.operators import clean, shards, upsert
+from candlewick.operators.indicators import indicator_table
 from candlewick.plans import daily
 from candlewick.schemas import BARS, SYMBOLS
 from candlewick.sources import files, payloads, snapshots
@@ -143,6 +146,28 @@ def test_upper_median(spark, count):
     assert found == {k: sorted(vs)[len(vs) // 2] for k, vs in values.items()}
 
 
+@pytest.mark.parametrize("cuts, most", [(64, 4096), (8, 50), (4, 1)])
+def test_upper_median_of_dense_values(spark, cuts, most):
+    """All values within 0.01, one group with most rows, few distinct values, one value, none: as plain sorting has it."""
+    from candlewick.operators import selection
+
+    rng = np.random.default_rng(cuts)
+    groups = {"dense": 5 + rng.random(6000) / 100, "wide": np.exp(rng.normal(0, 20, 900)) * rng.choice([-1, 1], 900),
+              "few": rng.choice([1.0, 2.0, 3.0], 500), "one": np.array([7.0]), None: rng.random(40)}
+    rows = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs] + [("one", None), ("none", None)], "k string, v double")
+    found = {r["k"]: r["upper_median"] for r in selection.upper_median(rows, "v", ["k"], cuts, most).collect()}
+    assert found == {k: sorted(vs)[len(vs) // 2] for k, vs in groups.items()}
+    whole = sorted(v for vs in groups.values() for v in vs)
+    frame = selection.upper_median(rows, "v", None, cuts, most)
+    assert [tuple(r) for r in frame.collect()] == [(whole[len(whole) // 2],)]
+    assert selection.upper_median(rows.where("v > 1e300"), "v", None, cuts, most).count() == 0
+    third = selection.select_element(rows, "v", ["k"], lambda n: F.floor(n / 3), "third", cuts, most)
+    assert {r["k"]: r["third"] for r in third.collect()} == {k: sorted(vs)[len(vs) // 3] for k, vs in groups.items()}
+    # One task gets the values of the last range, at most `most` of them; no exchange to one task lies above all values.
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
 def test_sharded_write(spark, tmp_path):
     bars = spark.createDataFrame([bar(f"S{i}", d, 1.0) for i in range(40) for d in range(3)], BARS)
     path = str(tmp_path / "shards")
@@ -162,8 +187,8 @@ def test_daily_job(spark, tmp_path):
     )
     bars_root, list_root = str(tmp_path / "bars"), str(tmp_path / "list")
     first = spark.createDataFrame(rising[:20] + rising[30:], BARS)
-    daily.store_bars(first, bars_root, "2024-04-01")
-    daily.store_bars(spark.createDataFrame(rising, BARS), bars_root, "2024-04-01")
+    daily.store_bars(first, bars_root)
+    daily.store_bars(spark.createDataFrame(rising, BARS), bars_root)
     stored = snapshots.read_snapshot(spark, bars_root)
     assert stored.count() == 60
     daily.store_indicators(bars_root, str(tmp_path / "indicators"), spark)
@@ -182,6 +207,58 @@ def test_daily_job(spark, tmp_path):
 def test_daily_store_keeps_keys_unique(spark, tmp_path):
     root = str(tmp_path / "unique")
     delivery = spark.createDataFrame([bar("A", -2000, 1.0), bar("A", 0, 1.0), bar("A", 0, 2.0)], BARS)
-    daily.store_bars(delivery, root, DAY)
-    daily.store_bars(delivery, root, DAY)
+    daily.store_bars(delivery, root)
+    daily.store_bars(delivery, root)
     assert sorted(row.close for row in snapshots.read_snapshot(spark, root).collect()) == [1.0, 2.0]
+    # The last delivered row counts, not the one with the greater figures.
+    falling = spark.createDataFrame([(*bar("A", 0, 9.0), 1), (*bar("A", 0, 5.0), 2), (*bar("A", 0, 7.0), 0)], StructType([*BARS.fields, StructField("line", LongType())]))
+    daily.store_bars(falling.repartition(3), root, "line")
+    assert sorted(row.close for row in snapshots.read_snapshot(spark, root).collect()) == [1.0, 5.0]
+
+
+def test_delivery_touches_only_what_changed(spark, tmp_path):
+    bars_root, table_root = tmp_path / "bars", tmp_path / "indicators"
+    rng = np.random.default_rng(5)
+    first = dt.date(2022, 1, 1)
+    history = {s: {first + dt.timedelta(days=i): 50 + float(x) for i, x in enumerate(np.cumsum(rng.normal(0, 1, 700)))} for s in "ABC"}
+
+    def rows(symbol, days):
+        return [(symbol, d, c, c + 1, c - 1, c, 10 + d.day) for d, c in sorted(history[symbol].items()) if d in days]
+
+    def store(data):
+        daily.store_delivery(spark.createDataFrame(data, BARS), str(bars_root), str(table_root))
+
+    def times(root):
+        return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+
+    def check():
+        bars = snapshots.read_months(spark, str(bars_root), BARS).drop("month")
+        want = {(r["symbol"], r["date"]): r for r in indicator_table(bars).collect()}
+        kinds = indicator_table(spark.createDataFrame([], BARS)).schema
+        found = {(r["symbol"], r["date"]): r for r in snapshots.read_months(spark, str(table_root), kinds).collect()}
+        assert set(found) == set(want) and len(want) > 0
+        for key, row in want.items():
+            for name in want[key].asDict():
+                if isinstance(row[name], float):
+                    assert found[key][name] == pytest.approx(row[name], rel=1e-9, abs=1e-9), (key, name)
+                else:
+                    assert found[key][name] == row[name], (key, name)
+
+    days = sorted(history["A"])
+    store([x for s in "ABC" for x in rows(s, set(days[:650]) - {days[20]})])
+    check()
+    before = times(bars_root) | {"t/" + k: v for k, v in times(table_root).items()}
+    # Delivered again, unchanged: nothing is written.
+    store(rows("B", set(days[600:640])))
+    assert times(bars_root) | {"t/" + k: v for k, v in times(table_root).items()} == before
+    # New days, with some old ones again: only months from the first new day on are written.
+    store([x for s in "AB" for x in rows(s, set(days[640:700]))])
+    check()
+    after = times(bars_root) | {"t/" + k: v for k, v in times(table_root).items()}
+    old = {k: v for k, v in before.items() if k.split("month=")[1][:7] < days[650].strftime("%Y-%m")}
+    assert old.items() <= after.items() and after.keys() - before.keys()
+    # An old day that was missing, and a corrected one: the running volume of all later days changes.
+    history["A"][days[300]] += 7
+    store(rows("A", {days[300]}) + rows("C", {days[20]}))
+    check()
+    assert times(bars_root).items() >= {k: v for k, v in times(bars_root).items() if days[300].strftime("%Y-%m") not in k}.items()
