@@ -44,6 +44,11 @@ def parse_messages(messages: DataFrame, schema: StructType = QUOTE_MESSAGE) -> D
     )
 
 
+def rejected_messages(messages: DataFrame) -> Column:
+    """Whether a message's text is no quote: no JSON object, or one without a symbol. Tells what `parse_messages` cannot read."""
+    return F.get_json_object("value", "$.symbol").isNull()
+
+
 def _typed(field: StructField) -> Column:
     """A field read as text in its own type: senders write numbers with or without quotes, and volumes with a fraction,
     which is cut. Text that is no number is NULL."""

@@ -13,7 +13,8 @@ from candlewick.functions.numeric import ratio
 from candlewick.functions.text import strength_text
 from candlewick.operators.indicators import band_view, bollinger, rsi
 from candlewick.operators.series import Windows, combine, evaluate, source
-from candlewick.schemas import WATCHLIST_KEY
+from candlewick.operators.upsert import last_per_key, upsert
+from candlewick.schemas import MANUAL_WATCHLIST, WATCHLIST_KEY
 from candlewick.sources.bars import last_bars
 
 # Condition names, the touch margin, and the thresholds of the two declared conditions.
@@ -211,6 +212,26 @@ def sector_distribution(watchlist: DataFrame, symbols: DataFrame) -> DataFrame:
     )
 
 
+def first_candidates(signals: DataFrame, limit: int = 10) -> DataFrame:
+    """The strongest signals of one scan, ties by symbol."""
+    return signals.orderBy(F.col("condition_value").desc(), "symbol", "condition_type").limit(limit)
+
+
+def manual_rows(bars: DataFrame) -> DataFrame:
+    """Entries as they are kept by hand, in the columns of `MANUAL_WATCHLIST`, for every bar that touches its upper band."""
+    windows = Windows()
+    outputs = {"price": source("close"), **bollinger(windows), "rsi": rsi(windows)}
+    bands = evaluate(bars, windows, outputs, ["symbol", "date", "volume"])
+    touched = bands.filter(F.col("price") >= F.col("bb_upper") * TOUCH_MARGIN)
+    entries = manual_entry(touched).withColumn("signal", F.lit(UPPER_TOUCH)).withColumn("created_at", F.col("date").cast("timestamp"))
+    return entries.select(*MANUAL_WATCHLIST.fieldNames())
+
+
+def replace_manual(stored: DataFrame, entries: DataFrame) -> DataFrame:
+    """The hand-kept list with one row a symbol: an entry takes the place of what is stored for its symbol, the latest of several."""
+    return upsert(stored, last_per_key(entries, ["symbol"], F.col("created_at")), ["symbol"])
+
+
 def manual_entry(bands: DataFrame) -> DataFrame:
     """Add `bb_width` and `bb_position` to hand-kept rows holding price and bands."""
     width = F.col("bb_upper") - F.col("bb_lower")

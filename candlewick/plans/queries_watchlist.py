@@ -178,3 +178,32 @@ def sector_distribution(spark, folder):
 )
 def manual_watchlist(spark, folder):
     return scanner.manual_entry(ind.band_view(bars(spark, folder)).withColumnRenamed("close_price", "price"))
+
+
+MANUAL = "symbol:s signal:s price:6 volume:i bb_upper:6 bb_middle:6 bb_lower:6 bb_width:6 bb_position:6 rsi:6 created_at:t"
+
+
+@register(
+    "manual_watchlist_replaced", MANUAL,
+    f"""SELECT symbol, 'bollinger_upper_touch' AS signal, close AS price, volume, m + 2 * sd AS bb_upper, m AS bb_middle, m - 2 * sd AS bb_lower,
+               (m + 2 * sd) - (m - 2 * sd) AS bb_width, (close - (m - 2 * sd)) / nullif((m + 2 * sd) - (m - 2 * sd), 0) AS bb_position,
+               {RSI} AS rsi, CAST(date AS TIMESTAMP) AS created_at
+        FROM (SELECT symbol, date, close, volume, avg(close) {over(20)} AS m, stddev_samp(close) {over(20)} AS sd,
+                     avg(gain) {over(14)} AS g, avg(loss) {over(14)} AS l FROM moves)
+        WHERE close >= (m + 2 * sd) * 0.98e0
+        QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY CASE WHEN date <= DATE '{DAY}' THEN date END DESC NULLS LAST, date DESC) = 1""",
+    "bars", MOVES,
+)
+def manual_watchlist_replaced(spark, folder):
+    """A hand-kept list: what was stored after `DAY` is replaced, symbol by symbol, by the newest entry up to it."""
+    rows, day = scanner.manual_rows(bars(spark, folder)), F.to_timestamp(F.lit(DAY))
+    stored = upsert.last_per_key(rows.filter(F.col("created_at") > day), ["symbol"], F.col("created_at"))
+    return scanner.replace_manual(stored, rows.filter(F.col("created_at") <= day))
+
+
+@register(
+    "first_candidates", SIGNAL,
+    f"SELECT * FROM touches WHERE date = DATE '{DAY}' ORDER BY condition_value DESC, symbol LIMIT 10", "touches",
+)
+def first_candidates(spark, folder):
+    return scanner.first_candidates(scanner.touch_scan_on(bars(spark, folder), symbols(spark, folder), DAY))

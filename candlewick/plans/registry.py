@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from candlewick.plans import (  # noqa: F401
     queries_bars,
+    queries_files,
     queries_indicators,
     queries_quotes,
     queries_reports,

@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.schemas import LOAD_TEST
+from candlewick.sources import quarantine
 
 # The registry used where no file exists.
 DEFAULT_REGISTRY = {
@@ -23,25 +24,35 @@ DEFAULT_REGISTRY = {
 
 
 def read_load_test(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=LOAD_TEST)
+    """Load-test statistics; a line that does not fit keeps its text in `quarantine.CORRUPT`."""
+    return quarantine.read_csv(spark, path, LOAD_TEST)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_registry(path: str) -> dict:
+def _path(spark: SparkSession, path: str):
+    """The path and its file system, wherever the cluster keeps it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def read_registry(spark: SparkSession, path: str) -> dict:
     """Indicator registry, a JSON file of a few kilobytes; the default one where the file is missing."""
-    try:
-        with open(path, encoding="utf-8") as file:
-            return json.load(file)
-    except FileNotFoundError:
+    place, files = _path(spark, path)
+    if not files.exists(place):
         return DEFAULT_REGISTRY
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
-def write_registry(path: str, registry: dict) -> None:
-    with open(path, "w", encoding="utf-8") as file:
-        json.dump(registry, file, indent=2)
+def write_registry(spark: SparkSession, path: str, registry: dict) -> None:
+    place, files = _path(spark, path)
+    out = files.create(place, True)
+    try:
+        out.write(bytearray(json.dumps(registry, indent=2).encode()))
+    finally:
+        out.close()
 
 
 def add_indicator(registry: dict, category: str, name: str, kind: str, **parameters) -> dict:

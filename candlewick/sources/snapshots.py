@@ -108,15 +108,6 @@ def merge_months(incoming: DataFrame, root: str, merge: Callable[[DataFrame, Dat
     write_months(spark.read.parquet(staged), root)
 
 
-def copy_table(spark: SparkSession, source: str, target: str) -> int:
-    """Copy a Parquet table and check that both sides hold the same number of rows."""
-    spark.read.parquet(source).write.mode("errorifexists").parquet(target)
-    copied = spark.read.parquet(target).count()
-    if copied != spark.read.parquet(source).count():
-        raise RuntimeError(f"copy of {source} is incomplete: {copied} rows")
-    return copied
-
-
 def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table: row count and column list. The counts run as one job."""
     rows = [

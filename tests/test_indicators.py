@@ -287,16 +287,16 @@ def test_strict_table_needs_one_shuffle(stored):
         assert text.count("Exchange") == 1 and "Python" not in text and "Pandas" not in text
 
 
-def test_registry(bars, tmp_path):
-    assert read_registry(str(tmp_path / "none.json")) == DEFAULT_REGISTRY
+def test_registry(spark, bars, tmp_path):
+    assert read_registry(spark, str(tmp_path / "none.json")) == DEFAULT_REGISTRY
     registry = add_indicator(DEFAULT_REGISTRY, "momentum", "rsi_7", "RSI", period=7)
     registry = add_indicator(registry, "trend", "ema_9", "EMA", period=9, mode="recursive")
     registry = add_indicator(registry, "trend", "macd_fast", "MACD", fast=8, slow=21, mode="adjusted")
     registry = add_indicator(registry, "trend", "sar", "PARABOLIC_SAR")
     registry = add_indicator(registry, "other", "mystery", "NO_SUCH_TYPE")
     path = str(tmp_path / "registry.json")
-    write_registry(path, registry)
-    assert read_registry(path) == registry
+    write_registry(spark, path, registry)
+    assert read_registry(spark, path) == registry
     assert "momentum" not in DEFAULT_REGISTRY["indicators"]
     entries = registry_entries(registry)
     table = result(declared.registry_table(bars, entries))
