@@ -7,7 +7,9 @@ from compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
 #: Queries that hold no row of the smallest data set, on either side.
-EMPTY = {"strong_signals_30", "strong_signals_30_stream"}
+EMPTY = {
+    "strong_signals_30", "strong_signals_30_stream", "bb_upper_touch_day", "watchlist_query", "dashboard_rows", "first_candidates",
+}
 
 
 @pytest.fixture(scope="module")
