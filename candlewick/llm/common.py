@@ -46,6 +46,11 @@ def text_bytes(text: str | None) -> bytes:
     return (text or "").encode()
 
 
+def text_key(text: str = "text") -> Column:
+    """128-bit digest that names a text; with the id it names a row, up to rows that are equal in both."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("t")
+
+
 @F.pandas_udf(T.BinaryType())
 def packed_text(texts: pd.Series) -> pd.Series:
     """Texts as they are shuffled: less than half the size."""
@@ -108,7 +113,7 @@ class Encoder:
     Texts are cut where no token can cross: for `cut="spaced"` before a single space between two other characters and
     around a single line end, for `cut="dropped"` (white space never reaches a token) at spaces and line ends. The ids of each distinct piece come from the
     tokenizer once and are remembered. Of `most` pieces of up to 64 characters the half not used for longest is forgotten.
-    Strings of special tokens are ordinary text.
+    A text that holds the string of a special token anywhere is encoded whole, as the tokenizer has it.
     """
 
     _cut = re.compile(r"(?<=\S)(?= \S)")
@@ -118,7 +123,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = tuple(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
         self.cut, self.most, self.known, self.older = cut, most, {"": b""}, {}
         self.sizes = self.ends = None
 
@@ -174,6 +179,8 @@ class Encoder:
         return found
 
     def encode(self, text: str | None) -> bytes:
+        if text and any(mark in text for mark in self.special):
+            return self._ids(text).tobytes()
         pieces = self.pieces(text or "")
         parts = list(map(self.known.get, pieces))
         if None in parts:

@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm.common import in_rows, signed, stored, table, text_bytes
+from candlewick.llm.common import in_rows, signed, stored, table, text_bytes, text_key
 from candlewick.llm.components import components, local_labels
 
 SHINGLE = 3
@@ -54,14 +54,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, t, f): the text's hash and the fingerprint as a signed long."""
+    """(doc_id, t, f): the text's digest and the fingerprint as a signed long."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in in_rows(batches, ["doc_id", "t", "text"], 4096):
             values = np.array([fingerprint(text, shingle) for text in batch["text"]], np.uint64)
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "t": batch["t"], "f": signed(values)})
 
-    return docs.select("doc_id", F.hash("text").alias("t"), "text").mapInPandas(run, "doc_id long, t int, f long")
+    return docs.select("doc_id", text_key(), "text").mapInPandas(run, "doc_id long, t binary, f long")
 
 
 def gray_rank(values: np.ndarray) -> np.ndarray:
@@ -175,7 +175,7 @@ def links(values: DataFrame, radius: int = RADIUS, limit: int = GROUP_LIMIT) ->
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, t, f, root, component_id) for every row of `docs`; t is the text's hash, root the least fingerprint reached."""
+    """(doc_id, t, f, root, component_id) for every row of `docs`; t is the text's digest, root the least fingerprint reached."""
     marked = stored(fingerprints(docs, shingle), "simhash-docs")
     values = stored(marked.groupBy("f").agg(F.min("doc_id").alias("doc_id")), "simhash-values")
     joined = components(links(values, radius))
@@ -193,7 +193,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
     none, plain = F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("plain")
     kept = least.select(F.col("first.none").alias("none"), F.coalesce("first.doc_id", F.lit(0)).alias("plain"),
                         F.col("first.t").alias("t")).distinct()
-    rows = docs.select(none, plain, F.hash("text").alias("t"), F.struct(*docs.columns).alias("row"))
+    rows = docs.select(none, plain, text_key(), F.struct(*docs.columns).alias("row"))
     # Rows equal in id and text are told apart by nothing: one of them stays.
     return rows.join(kept, ["none", "plain", "t"]).dropDuplicates(["none", "plain", "t"]).select("row.*")
 

@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm.common import in_rows, mixed, packed_text, release, signed, stored, table, text_bytes, unpacked
+from candlewick.llm.common import in_rows, mixed, packed_text, release, signed, stored, table, text_bytes, text_key, unpacked
 
 WINDOW = 200
 GRAM = 32
@@ -131,14 +131,14 @@ def anchors(docs: DataFrame) -> DataFrame:
                     "doc_id": batch["doc_id"].astype("Int64").array[at], "t": batch["t"].to_numpy()[at],
                     "place": place, "gram": gram, "context": context, "number": number.astype(np.int32)})
 
-    return docs.select("doc_id", F.hash("text").alias("t"), "text").mapInPandas(
-        run, "doc_id long, t int, place long, gram long, context long, number int")
+    return docs.select("doc_id", text_key(), "text").mapInPandas(
+        run, "doc_id long, t binary, place long, gram long, context long, number int")
 
 
 def _with_texts(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
     """`rows` (doc_id, t, at) beside the texts of their documents, packed for the shuffle, and the other columns in `row`."""
     others = [F.col(name) for name in docs.columns if name not in ("doc_id", "text")] or [F.lit(None).alias("none")]
-    texts = docs.select("doc_id", F.hash("text").alias("t"), packed_text("text").alias("packed"), F.struct(*others).alias("row"))
+    texts = docs.select("doc_id", text_key(), packed_text("text").alias("packed"), F.struct(*others).alias("row"))
     return texts.alias("d").join(
         rows.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.t") == F.col("r.t")), how
     ).select("d.doc_id", "d.t", "packed", "at", "row")
@@ -164,7 +164,7 @@ def contexts(docs: DataFrame, members: DataFrame) -> DataFrame:
 
     listed = members.groupBy("doc_id", "t").agg(F.collect_list(F.struct("place", "gram", "large")).alias("at"))
     return _with_texts(docs.select("doc_id", "text"), listed, "inner").mapInPandas(
-        run, "gram long, large boolean, doc_id long, t int, start long, greatest int, windows int, data binary")
+        run, "gram long, large boolean, doc_id long, t binary, start long, greatest int, windows int, data binary")
 
 
 def window_identifiers(rows: list[bytes], windows: np.ndarray) -> np.ndarray:
@@ -215,7 +215,7 @@ def refined_in_tasks(rows: DataFrame) -> DataFrame:
             yield done(held)
 
     dealt = rows.repartition("gram").sortWithinPartitions("gram")
-    return dealt.mapInPandas(run, "doc_id long, t int, span long")
+    return dealt.mapInPandas(run, "doc_id long, t binary, span long")
 
 
 def window_groups(rows: DataFrame, size: int) -> DataFrame:
@@ -243,7 +243,7 @@ def window_groups(rows: DataFrame, size: int) -> DataFrame:
                 "core": signed(mixed(shared + kind)), "whole": signed(mixed(whole * np.uint64(3) + mixed(
                     ((group * 256 + low - group * size) * 256 + high - low).astype(np.uint64))))})
 
-    return rows.mapInPandas(run, "doc_id long, t int, start long, greatest int, windows int, data binary, core long, whole long")
+    return rows.mapInPandas(run, "doc_id long, t binary, start long, greatest int, windows int, data binary, core long, whole long")
 
 
 def refined_by_shuffle(rows: DataFrame) -> DataFrame:
@@ -264,7 +264,7 @@ def refined_by_shuffle(rows: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, limit: int = BUCKET_LIMIT) -> DataFrame:
-    """(doc_id, t, span) of all repeated windows; t is the text's hash, a span is first byte << 9 | length."""
+    """(doc_id, t, span) of all repeated windows; t is the text's digest, a span is first byte << 9 | length."""
     found = stored(anchors(docs), "suffix-anchors")
     grams = found.where("number > 0").groupBy("gram").agg(F.sum("number").alias("n")).where("n > 1").select("gram")
     # What a hot q-gram is joined to is stored first: both sides of the join are then shuffled, and Spark can split it.

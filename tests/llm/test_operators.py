@@ -158,12 +158,12 @@ def test_repeated_bytes(docs, empty, limit, piece):
                 gone[k : k + 200] = True
         want[x[0], len(b), int(gone.sum())] += 1
     spans = suffixes.repeated_spans(docs, limit).groupBy("doc_id", "t").agg(F.collect_set("span").alias("at"))
-    found = {(x.doc_id, x.t): x["at"] for x in spans.collect()}
-    keyed = docs.select("doc_id", F.hash("text").alias("t"), "text").collect()
+    found = {(x.doc_id, bytes(x.t)): x["at"] for x in spans.collect()}
+    keyed = docs.select("doc_id", common.text_key(), "text").collect()
     got = Counter()
     for x in keyed:
         data = common.text_bytes(x.text)
-        got[x.doc_id, len(data), suffixes.kept_bytes(data, np.array(found.get((x.doc_id, x.t), []), np.int64))[1]] += 1
+        got[x.doc_id, len(data), suffixes.kept_bytes(data, np.array(found.get((x.doc_id, bytes(x.t)), []), np.int64))[1]] += 1
     assert got == want
     for b in texts:
         if len(b) >= 200:
@@ -288,3 +288,44 @@ def test_pipeline_stages(spark):
         kept = common.stored(stage(spark, kept, FOLDER), "test-stage")
         assert kept.columns == docs.columns and kept.count() > 0
     assert {"sequence_id", "offset"} <= set(corpus_pipeline.run(spark, FOLDER).columns)
+
+
+def colliding():
+    """Two texts without repeats whose 32-bit hashes, as Spark takes them, are equal: found among random texts."""
+    spark = __import__("pyspark").sql.SparkSession.getActiveSession()
+    texts = spark.range(400_000).select(F.concat_ws(" ", *[F.substring(F.sha2(F.concat(F.col("id").cast("string"), F.lit(f"/{k}")), 256), 1, 40) for k in range(7)]).alias("text"))
+    pair = texts.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("same")).where(F.size("same") > 1).first()
+    return pair["same"][:2]
+
+
+def test_rows_without_id_are_told_apart(spark):
+    """Unlike texts without an id stay unlike, whatever 32-bit hash they have."""
+    first, second = colliding()
+    docs = spark.createDataFrame([(None, first), (None, second), (1, "other words entirely, not much of them")], "doc_id long, text string")
+    assert {x.text for x in simhash.one_of_each(docs).collect()} >= {first, second}
+    assert {x.n_removed for x in suffixes.without_repeats(docs).collect()} == {0}
+    assert {x.text for x in suffixes.cleaned_documents(docs).collect()} >= {first, second}
+    assert {(x.n_repeated, x.n_removed) for x in chunking.without_copied_chunks(docs).collect()} == {(0, 0)}
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_copies_in_repeated_rows_go(spark, monkeypatch, doc_id):
+    text = " ".join(f"word{i}" for i in range(60))
+    monkeypatch.setattr(chunking, "COPIES", 2)
+    docs = spark.createDataFrame([(doc_id, text)] * 5 + [(9, text + " more"), (3, "alone")], "doc_id long, text string")
+    out = sorted(((x.doc_id or 0, x.n_bytes, x.n_repeated, x.n_removed, x.text) for x in chunking.without_copied_chunks(docs).collect()), key=repr)
+    mine = [x for x in out if x[0] == (doc_id or 0)]
+    assert len(out) == 7 and sorted(x[3] for x in mine) == [0] + [len(text)] * 4 and max(x[2] for x in out) <= len(text) + 5
+    assert sum("word3 word4" in x[4] for x in out) == 1
+
+
+@pytest.mark.parametrize("name, cut", [("byte_bpe_50k.json", "spaced"), ("word_bpe_49k.json", "dropped")])
+def test_special_strings_are_the_tokenizers(name, cut):
+    from tokenizers import Tokenizer
+
+    path = common.tokenizer_path(name)
+    plain, coder = Tokenizer.from_file(path), common.Encoder(path, cut)
+    marks = ["<|endoftext|>", "<|startoftext|>"]
+    texts = [x for m in marks for x in (m, f"a{m}b", f" {m} ", f"words {m}\n{m}{m} more", f"<|endof {m[1:]}", f"{m[:-1]}", f"É{m}é", "w " * 3000 + m)]
+    for text in ["no marks here", *texts, "again without", ""]:
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
