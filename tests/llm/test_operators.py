@@ -1,6 +1,7 @@
 """Corpus operators on a small table with nulls, empty and long texts, ties, repeated rows and clashing extra columns."""
 
 import hashlib
+import os
 import re
 import zlib
 from collections import Counter
@@ -62,17 +63,59 @@ def test_neighbours_match_brute_force(spark):
     rng = np.random.default_rng(2)
     data = [(int(i), [float(x) for x in v]) for i, v in enumerate(rng.standard_normal((400, 8)))]
     data += [(1000, data[0][1]), (1001, None), (1002, [0.0] * 8), (1003, [float("nan")] * 8), (1004, [None] * 8), (1005, [1.0])]
-    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    data += [(7, data[3][1]), (40, data[9][1]), (None, data[5][1]), (None, data[6][1]), (3, [1e200] * 9), (2020, [-1e200] * 9)]
+    frame = spark.createDataFrame([(*x, 1, "b", 2, 3) for x in data], "vec_id long, embedding array<double>, dim int, band string, v int, row int")
     vectors = neighbours.clean_vectors(frame)
     got = neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), 5, block_rows=100).collect()
-    good = {i: np.array(v) for i, v in data if v and len(v) == 8 and None not in v and np.isfinite(v).all() and any(v)}
+    good = [(i, np.array(v)) for i, v in data if v and None not in v and np.isfinite(v).all() and any(v)]
+    hit, count, places = 0, 0, {}
+    for x in got:
+        places.setdefault((x.query_id, x.query), []).append((x.rank, x.vec_id))
+    for n, (i, q) in enumerate(good):
+        if i is None or i % 20:
+            continue
+        with np.errstate(over="ignore"):
+            want = sorted((-(v * q).sum(), j is None, j or 0) for m, (j, v) in enumerate(good) if m != n and len(v) == len(q))[:5]
+        mine = [sorted(v) for (k, _), v in places.items() if k == i]
+        assert [r for r, _ in mine[0]] == list(range(1, len(want) + 1))
+        hit += max(len({j or 0 for _, _, j in want} & {j or 0 for _, j in some}) for some in mine)
+        count += len({j for _, _, j in want})
+    assert hit >= 0.95 * count and len(places) == sum(i is not None and i % 20 == 0 for i, _ in good) - 1  # 1005 is alone in its dimension
+    assert neighbours.nearest(*[neighbours.clean_vectors(frame.where("false"))] * 2).count() == 0
+
+
+def test_windows_count_collisions():
+    """Ranks inside the windows are the values inside them, and as few are verified as asked for."""
+    rng = np.random.default_rng(5)
+    data = rng.standard_normal((3000, 16))
+    block = neighbours.Block(np.arange(3000), np.arange(3000), data, 50_000, 1 / 50_000)
+    query = data[:3] / block.scale
+    centres = (query * (block.longest / np.sqrt((query * query).sum(1)))[:, None]) @ block.directions[:-1]
+    low, size = block.windows(centres, 9)
+    values = np.empty(block.sorted.shape)
+    np.put_along_axis(values, np.argsort(block.rank, 1), block.sorted, 1)
+    for i in range(3):
+        want = (np.abs(values - centres[i][:, None]) <= neighbours.WIDTHS[9] * block.longest).sum(0)
+        assert (block.collisions(low[i], size[i]) == want).all()
+    assert {len(at) for at in block.candidates(query, 240)} == {240}
+    assert neighbours.projections(0) == neighbours.projections(1024) < neighbours.projections(1 << 20) < neighbours.projections(1 << 40) == 255
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/check_s/embeddings.parquet"), reason="needs the larger table")
+def test_neighbours_of_a_larger_table(spark):
+    """Recall where only a part of the vectors is verified."""
+    frame = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
+    vectors = neighbours.clean_vectors(frame)
+    got = neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 200 == 0)).toPandas()
+    rows = vectors.select("vec_id", "v").toPandas()
+    data, ids = np.stack(rows["v"].to_numpy()), rows["vec_id"].to_numpy()
     hit = 0
-    for q in [i for i in good if i % 20 == 0]:
-        want = sorted((-(good[i] * good[q]).sum(), i) for i in good if i != q)[:5]
-        mine = sorted((x.rank, x.vec_id) for x in got if x.query_id == q)
-        assert [r for r, _ in mine] == [1, 2, 3, 4, 5]
-        hit += len({i for _, i in want} & {i for _, i in mine})
-    assert hit >= 0.9 * len(got)
+    for q, mine in got.groupby("query_id"):
+        scores = (data * data[ids == q][0]).sum(1)
+        scores[ids == q] = -np.inf
+        assert len(mine) == 20
+        hit += len(set(ids[np.argsort(-scores)[:20]]) & set(mine["vec_id"]))
+    assert hit >= 0.95 * len(got) > 0
 
 
 @pytest.mark.parametrize("lengths", ["one long", "lognormal"])
