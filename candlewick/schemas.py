@@ -34,7 +34,7 @@ MANUAL_WATCHLIST = _table(
 
 SYMBOL_SHARDS = _table(symbol=STRING, shard_number=INT, created_at=TIMESTAMP, updated_at=TIMESTAMP)
 
-# Column order of the stored indicator table.
+# The columns of the stored indicator table, in order.
 INDICATOR_COLUMNS = [
     "symbol", "date",
     "bb_upper", "bb_middle", "bb_lower",

@@ -57,13 +57,21 @@ def bars_from_trades(lineitem: DataFrame) -> DataFrame:
 
 
 def weekly_bars(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    """Weekly bars per nation (the sector of its suppliers); most have a real open-close range."""
+    """Weekly bars per nation (the sector of its suppliers); most have a real open-close range.
+
+    Lines become one row for each supplier and week before they meet the suppliers."""
     week = F.date_trunc("week", F.col("l_shipdate")).cast("date").alias("date")
+    price, order = _price(), _trade_order()
+    own = lineitem.groupBy("l_suppkey", week).agg(
+        F.min(order).alias("first"), F.max(order).alias("last"), F.min_by(price, order).alias("open"), F.max(price).alias("high"),
+        F.min(price).alias("low"), F.max_by(price, order).alias("close"), F.sum("l_quantity").alias("volume"))
     sectors = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).select("s_suppkey", "n_name")
     return (
-        lineitem.join(sectors, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy(F.col("n_name").alias("symbol"), week)
-        .agg(*_bar_aggregates())
+        own.join(sectors, F.col("l_suppkey") == F.col("s_suppkey"))
+        .groupBy(F.col("n_name").alias("symbol"), "date")
+        .agg(
+            F.min_by("open", "first").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+            F.max_by("close", "last").alias("close"), F.sum("volume").cast("bigint").alias("volume"))
     )
 
 
