@@ -6,7 +6,8 @@ The likeness of two fingerprints is the cosine that their angle stands for: cos(
 dealt into ranges; each range is sorted in its task and read with one document of look-ahead, and the first document of
 every range is also sent to the range before it, so no order over all rows is built in one place.
 
-`near_fingerprints` finds partners within a Hamming radius with permuted block tables.
+Fingerprints within a Hamming radius are found with permuted block tables and joined to groups by stars, never by listing all
+pairs; `op5` returns each document's group, named by its least fingerprint.
 
 Defined cases: a null text is empty; texts without words have the zero fingerprint; equal texts have equal fingerprints;
 a null id comes last; rows of one id follow each other in text order; the only document's next is itself.
@@ -23,10 +24,14 @@ import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from candlewick.llm.common import WordHashes, in_rows, mixed, table, text_bytes
+from candlewick.llm.common import WordHashes, in_rows, mixed, stored, table, text_bytes
+from candlewick.llm.components import components
 
 BITS = 128
 SEED = 11
+RADIUS = 3
+FRONT_LIMIT = 20_000
+ROWS = 512  # of a block of distances
 _words = WordHashes(SEED)
 
 
@@ -124,28 +129,93 @@ def _lane(hexed: Column, lane: int) -> Column:
     return F.shiftleft(high, 32).bitwiseOR(low)
 
 
-def near_fingerprints(marked: DataFrame, radius: int) -> DataFrame:
-    """Pairs (a, b, distance) of distinct fingerprints at most `radius` bits apart.
+def _digits(places: list[int]) -> Column:
+    """Some hex digits of a fingerprint, as one string."""
+    runs: list[list[int]] = []
+    for at in places:
+        if runs and runs[-1][1] == at:
+            runs[-1][1] = at + 1
+        else:
+            runs.append([at, at + 1])
+    return F.concat(*[F.substring("fingerprint", a + 1, b - a) for a, b in runs])
 
-    The bits are cut into `radius` + 2 blocks; partners agree in at least two of them. There is one table for each pair
-    of blocks, with these blocks in front, and candidates are what agrees in a table's front.
+
+def _cut(places: list[int], parts: int) -> list[list[int]]:
+    ends = [round(i * len(places) / parts) for i in range(parts + 1)]
+    return [places[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def local_stars(lanes: np.ndarray, radius: int) -> np.ndarray:
+    """For each of some fingerprints (two 64-bit lanes) the least index it reaches in steps of at most `radius` bits.
+
+    Labels spread over blocks of distances, so that no list of pairs is built.
     """
-    blocks = radius + 2
-    cuts = [round(i * 32 / blocks) for i in range(blocks + 1)]  # in hex digits
-    values = marked.select("fingerprint").distinct()
-    fronts = [
-        F.concat(F.lit(f"{i}-{j}:"), F.substring("fingerprint", cuts[i] + 1, cuts[i + 1] - cuts[i]),
-                 F.substring("fingerprint", cuts[j] + 1, cuts[j + 1] - cuts[j]))
-        for i, j in combinations(range(blocks), 2)
-    ]
-    tables = values.select("fingerprint", F.explode(F.array(*fronts)).alias("front"))
-    a = tables.select("front", F.col("fingerprint").alias("a"))
-    b = tables.select("front", F.col("fingerprint").alias("b"))
-    apart = sum(F.bit_count(_lane(F.col("a"), lane).bitwiseXOR(_lane(F.col("b"), lane))) for lane in (0, 1))
-    return a.join(b, "front").where(F.col("a") < F.col("b")).withColumn("distance", apart).where(
-        F.col("distance") <= radius).select("a", "b", "distance").distinct()
+    label = np.arange(len(lanes))
+    while True:
+        new = label.copy()
+        for at in range(0, len(lanes), ROWS):
+            apart = sum(np.bitwise_count(lanes[at : at + ROWS, i, None] ^ lanes[None, :, i]).astype(np.uint8) for i in (0, 1))
+            new[at : at + ROWS] = np.where(apart <= radius, label[None, :], len(lanes)).min(1)
+        new = np.minimum(new, new[new])
+        if (new == label).all():
+            return label
+        label = new
+
+
+def near_links(values: DataFrame, radius: int = RADIUS, limit: int = FRONT_LIMIT) -> DataFrame:
+    """Stars (u, v) that join all distinct `fingerprint`s of `values` that are at most `radius` bits apart.
+
+    The bits are cut into `radius` + 2 blocks; partners agree in at least two of them. There is one table for each pair of blocks,
+    permuted so that these stand in front, and candidates are what agrees in a table's front. Where a front is shared by more
+    than `limit` fingerprints, the other bits are cut into `radius` + 1 blocks, one of which must agree as well.
+    """
+    blocks = _cut(list(range(BITS // 4)), radius + 2)
+    pairs = list(combinations(range(radius + 2), 2))
+    fronts, finer = [], []
+    for i, j in pairs:
+        front = blocks[i] + blocks[j]
+        rest = [at for at in range(BITS // 4) if at not in front]
+        fronts.append(F.xxhash64(F.lit(f"{i}-{j}"), _digits(front)))
+        finer.append(F.array(*[
+            F.xxhash64(F.lit(f"{i}-{j}-{n}"), _digits(front), _digits(part)) for n, part in enumerate(_cut(rest, radius + 1))]))
+    tables = values.select("fingerprint", F.posexplode(F.array(*fronts)).alias("t", "front"))
+    large = tables.groupBy("front").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("front", F.lit(True).alias("large"))
+    dealt = tables.join(large, "front", "left").select("fingerprint", F.explode(
+        F.when(F.col("large"), F.element_at(F.array(*finer), F.col("t") + 1)).otherwise(F.array("front"))).alias("front")).select(
+        "front", _lane(F.col("fingerprint"), 0).alias("a"), _lane(F.col("fingerprint"), 1).alias("b"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def joined(rows: np.ndarray) -> Iterator[pd.DataFrame]:
+            """`rows` (front, a, b) hold whole fronts, sorted."""
+            ends = np.append(np.flatnonzero(np.diff(rows[:, 0])) + 1, len(rows))
+            for begin, end in zip(np.append(0, ends[:-1]).tolist(), ends.tolist()):
+                if end - begin > 1:
+                    lanes = np.ascontiguousarray(rows[begin:end, 1:]).view(np.uint64)
+                    label = local_stars(lanes, radius)
+                    at = np.flatnonzero(label != np.arange(len(label)))
+                    if len(at):
+                        name = [f"{x:016x}{y:016x}" for x, y in lanes.tolist()]
+                        yield pd.DataFrame({"u": [name[i] for i in at], "v": [name[i] for i in label[at]]})
+
+        held = np.zeros((0, 3), np.int64)
+        for batch in batches:
+            rows = np.concatenate([held, batch[["front", "a", "b"]].to_numpy(np.int64)])
+            whole = int(np.searchsorted(rows[:, 0], rows[-1, 0])) if len(rows) else 0  # the last front may go on
+            yield from joined(rows[:whole])
+            held = rows[whole:]
+        yield from joined(held)
+
+    return dealt.repartition("front").sortWithinPartitions("front").mapInPandas(run, "u string, v string").distinct()
+
+
+def near_groups(values: DataFrame, radius: int = RADIUS, limit: int = FRONT_LIMIT) -> DataFrame:
+    """(fingerprint, near_group): each distinct fingerprint and the least one it reaches in steps of at most `radius` bits."""
+    values = stored(values.select("fingerprint").distinct(), "fingerprints")
+    joined = components(near_links(values, radius, limit)).select(F.col("u").alias("fingerprint"), F.col("v").alias("near_group"))
+    return values.join(joined, "fingerprint", "left").select("fingerprint", F.coalesce("near_group", "fingerprint").alias("near_group"))
 
 
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return edited_fingerprints(table(spark, sf_dir, "documents"), parts)
+    found = stored(edited_fingerprints(table(spark, sf_dir, "documents"), parts), "edited")
+    return found.join(near_groups(found), "fingerprint")

@@ -209,8 +209,37 @@ def test_edited_fingerprints(docs, empty):
     marked = fingerprints.document_fingerprints(docs)
     values = sorted({x.fingerprint for x in marked.collect()})
     apart = lambda a, b: (int(a, 16) ^ int(b, 16)).bit_count()
-    near = {(x.a, x.b) for x in fingerprints.near_fingerprints(marked, 12).collect()}
-    assert near == {(a, b) for a in values for b in values if a < b and apart(a, b) <= 12}
+    for limit in (20_000, 2):
+        groups = {x.fingerprint: x.near_group for x in fingerprints.near_groups(marked, 12, limit).collect()}
+        assert groups == reached(values, lambda a, b: apart(a, b) <= 12)
+
+
+def reached(values, near):
+    """Each value's least partner over any number of steps."""
+    least = {x: x for x in values}
+    while True:
+        new = {x: min(least[y] for y in values if near(x, y)) for x in values}
+        if new == least:
+            return least
+        least = new
+
+
+@pytest.mark.parametrize("limit", [20_000, 3])
+def test_near_groups_are_whole(spark, limit):
+    """Chains, clusters and pairs at exactly the radius and beyond, in either half of the bits."""
+    rng = np.random.default_rng(8)
+    number = lambda: int.from_bytes(rng.bytes(16), "big")
+    some = [number() for _ in range(60)]
+    for base in some[:12]:
+        now = base
+        for _ in range(6):  # chains with steps of two to five bits
+            now ^= sum(1 << int(b) for b in rng.choice(128, rng.integers(2, 6), replace=False))
+            some.append(now)
+        some += [base ^ (1 << int(b)) for b in rng.choice(128, 8, replace=False)]
+    values = sorted({f"{x:032x}" for x in some})
+    frame = spark.createDataFrame([(x,) for x in values], "fingerprint string")
+    groups = {x.fingerprint: x.near_group for x in fingerprints.near_groups(frame, 3, limit).collect()}
+    assert groups == reached(values, lambda a, b: (int(a, 16) ^ int(b, 16)).bit_count() <= 3) and len(set(groups.values())) < len(values)
 
 
 @pytest.mark.parametrize("limit, piece", [(2000, 1 << 19), (1, 1 << 19), (2000, 64)])
