@@ -33,6 +33,7 @@ SEED = 42
 FANOUT = 16
 GROUP_LIMIT = 100_000
 QUERY_ROWS = 8192
+SEARCH_ROWS = 1 << 17  # of the groups that a task searches at a time
 BLOCKS = 4
 
 
@@ -150,28 +151,41 @@ def links(values: DataFrame, radius: int = RADIUS, limit: int = GROUP_LIMIT) ->
         "f", "t", F.posexplode(F.when(F.col("large"), finer).otherwise(F.array("k"))).alias("part", "k"), "large"
     ).select("f", (F.col("t") * 4 + F.when(F.col("large"), F.col("part") + 1).otherwise(0)).alias("t"), "k")
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [batch[["t", "k", "f"]].to_numpy(np.int64) for batch in batches]
-        rows = np.concatenate(rows) if rows else np.zeros((0, 3), np.int64)
-        if len(rows) == 0:
-            return
-        f = np.ascontiguousarray(rows[:, 2]).view(np.uint64)
-        order = np.lexsort((gray_rank(f), rows[:, 1], rows[:, 0]))
-        t, k, f = rows[order, 0], rows[order, 1], f[order]
-        fresh = np.append(True, (t[1:] != t[:-1]) | (k[1:] != k[:-1]))
+    def joined(rows: np.ndarray) -> Iterator[pd.DataFrame]:
+        """Stars of whole groups, `rows` being (t, k, f) in order of t and k."""
+        fresh = np.append(True, (np.diff(rows[:, 0]) != 0) | (np.diff(rows[:, 1]) != 0))
         group = np.cumsum(fresh) - 1
         shared = np.bincount(group)[group] > 1
-        group, f = group[shared], f[shared]
+        group, f = group[shared], np.ascontiguousarray(rows[shared, 2]).view(np.uint64)
         if len(f) == 0:
             return
+        order = np.lexsort((gray_rank(f), group))
+        group, f = group[order], f[order]
         distinct, index = np.unique(f, return_inverse=True)
         a, b = zip(*near_pairs(group, f, radius))
         a, b = index[np.concatenate(a)], index[np.concatenate(b)]
         label = local_labels(len(distinct), a, b)
-        joined = np.flatnonzero(label != np.arange(len(distinct)))
-        yield pd.DataFrame({"u": signed(distinct[joined]), "v": signed(distinct[label[joined]])})
+        near = np.flatnonzero(label != np.arange(len(distinct)))
+        yield pd.DataFrame({"u": signed(distinct[near]), "v": signed(distinct[label[near]])})
 
-    return parts.repartition("t", "k").mapInPandas(search, "u long, v long").distinct()
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch[["t", "k", "f"]].to_numpy(np.int64))
+            size += len(batch)
+            if size >= SEARCH_ROWS:  # go on with the group that may not be complete
+                rows = np.concatenate(held)
+                last = (rows[:, 0] == rows[-1, 0]) & (rows[:, 1] == rows[-1, 1])
+                whole = int(np.argmax(last))
+                if whole:
+                    yield from joined(rows[:whole])
+                held, size = [rows[whole:]], 0
+        if held:
+            rows = np.concatenate(held)
+            if len(rows):
+                yield from joined(rows)
+
+    return parts.repartition("t", "k").sortWithinPartitions("t", "k").mapInPandas(search, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:

@@ -305,6 +305,19 @@ def test_near_duplicates(docs, empty):
     assert kept.columns == docs.columns and kept.count() == len(set(root))
 
 
+@pytest.mark.parametrize("limit, rows", [(100_000, 1 << 17), (1, 1 << 17), (100_000, 1), (1, 1)])
+def test_links_are_whole(spark, monkeypatch, limit, rows):
+    """Groups split by further blocks, and searched a few at a time, lose no link."""
+    rng = np.random.default_rng(6)
+    some = [int(x) for x in rng.integers(0, 1 << 62, 80)]
+    some += [x ^ (1 << int(b)) ^ (1 << int(c)) for x in some[:40] for b, c in rng.integers(0, 62, (4, 2))]
+    monkeypatch.setattr(simhash, "SEARCH_ROWS", rows)
+    frame = spark.createDataFrame([(x,) for x in sorted(set(some))], "f long")
+    label = {x.u: x.v for x in simhash.components(simhash.links(frame, 2, limit)).collect()}
+    want = reached(sorted(set(some)), lambda a, b: (a ^ b).bit_count() <= 2)
+    assert {x: label.get(x, x) for x in want} == want
+
+
 def test_gray_index_finds_all_pairs():
     rng = np.random.default_rng(4)
     base = rng.integers(0, 1 << 62, 40).astype(np.uint64)
