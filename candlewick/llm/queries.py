@@ -11,7 +11,7 @@ from candlewick.llm.negatives import OP12_SQL, op12_hard_negatives
 from candlewick.llm.neighbours import op2_nearest_neighbours
 from candlewick.llm.packing import op7_best_fit_packing
 from candlewick.llm.quality import op3_quality_classifier
-from candlewick.llm.repair import op11_conversation_repair
+from candlewick.llm.repair import OP11_SQL, op11_conversation_repair
 from candlewick.llm.scoring import op10_lm_scoring
 from candlewick.llm.simhash import op8_simhash_near_dedup
 from candlewick.llm.suffixes import op6_suffix_array_dedup
@@ -35,6 +35,7 @@ QUERIES = {
 }
 SQL = {
     "op1_mix_sources": OP1_SQL,
+    "op11_conversation_repair": OP11_SQL,
     "op12_hard_negatives": OP12_SQL,
     "op13_line_dedup": OP13_SQL,
 }

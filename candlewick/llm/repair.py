@@ -430,3 +430,82 @@ def damage_repaired(turns: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return damage_repaired(table(spark, sf_dir, "conversations"))
+
+
+def _op11_sql() -> str:
+    """The contract as one recursion over each conversation's rows: the least (cost, audit, text so far) for each of four states."""
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    def after(state: str, cost: str, edit: str, line: str | None) -> str:
+        """`state` with one more edit; NULL if it cannot be reached."""
+        text = f"{state}.r" if line is None else f"CASE WHEN {state}.r IS NULL THEN {line} ELSE {state}.r || chr(10) || {line} END"
+        return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'r': {text}}} END"
+
+    def insert(state: str, role: str) -> str:
+        return after(state, str(INSERT), "I", f"'{role}:'")
+
+    def stay(state: str, edit: str, cost: int, role: str, when: str) -> str:
+        return f"CASE WHEN NOT must AND {when} THEN {after(state, f'({cost} + cut)', edit, role + " || ':' || text")} END"
+
+    def change(states: str, role: str) -> list[str]:
+        first = role[0]
+        return [x for s in states for x in (
+            stay(f"p{s}", "K", 0, "role", f"left(role, 1) = '{first}'"), stay(f"p{s}", "R", REROLE, f"'{role}'", "true"))]
+
+    gone = [after(f"p{s}", str(DELETE), "D", None) for s in range(4)]
+    user, assistant = least("p2", insert("p3", "user"), insert("p0", "user"), insert("p1", "user")), least("p3", insert("q2", "assistant"))
+    step = f"""
+        SELECT w.conv_id, f.i, {gone[0]} AS p0, {least(gone[1], stay('p0', 'K', 0, 'role', "left(role, 1) = 's'"))} AS p1,
+               {least(gone[2], *change('013', 'user'))} AS p2, {least(gone[3], *change('2', 'assistant'))} AS p3
+        FROM walk w JOIN faults f ON f.conv_id = w.conv_id AND f.i = w.i + 1"""
+    names = "conv_id, i, p0, p1, q2 AS p2, q3 AS p3"
+    kind = "STRUCT(c BIGINT, a VARCHAR, r VARCHAR)"
+    return f"""
+WITH RECURSIVE crc AS (
+    SELECT list(t ORDER BY b) AS tab FROM (
+        SELECT b, list_reduce(CAST([b, 0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[]),
+                              lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS t FROM range(256) r(b))),
+kinds AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+                   string_split(concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')), ''),
+                   lambda ch: CAST(ascii(ch) AS BIGINT))),
+               lambda x, y: xor(x >> 8, tab[(xor(x, y) & 255) + 1])), 4294967295) % 20 AS kind
+    FROM conversations, crc),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM kinds WHERE kind <> 0),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, rtrim(text, {white}) AS bare FROM damaged),
+marked AS (
+    SELECT *, bare = '' AS blank, bare <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+           coalesce(left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS illegal
+    FROM placed),
+faults AS (
+    SELECT conv_id, i, role, text, turn, blank, again, illegal, blank OR again AS must,
+           CASE WHEN NOT blank AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') THEN {TRUNCATED} ELSE 0 END AS cut FROM marked),
+walk AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS i, CAST({{'c': 0, 'a': '', 'r': NULL}} AS {kind}) AS p0, CAST(NULL AS {kind}) AS p1,
+           CAST({{'c': {INSERT}, 'a': 'I', 'r': 'user:'}} AS {kind}) AS p2,
+           CAST({{'c': {2 * INSERT}, 'a': 'II', 'r': 'user:' || chr(10) || 'assistant:'}} AS {kind}) AS p3
+    FROM (SELECT DISTINCT conv_id FROM faults)
+    UNION ALL
+    SELECT {names} FROM (SELECT *, {assistant} AS q3 FROM (SELECT *, {user} AS q2 FROM ({step})))),
+figures AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+           count(*) FILTER (again) AS duplicate, sum(cut) AS truncated, count(*) FILTER (illegal) AS illegal, max(i) AS i
+    FROM faults GROUP BY conv_id),
+best AS (SELECT conv_id, {least('p0', 'p3')} AS b FROM walk JOIN figures USING (conv_id, i))
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(b.c, 0) AS BIGINT) AS cost, coalesce(b.a, '') AS audit,
+       sha256(coalesce(b.r, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN figures USING (conv_id) LEFT JOIN best USING (conv_id)"""
+
+
+OP11_SQL = _op11_sql()

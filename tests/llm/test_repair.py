@@ -8,6 +8,8 @@ import zlib
 import pytest
 
 from candlewick.llm import repair
+from candlewick.llm.queries import QUERIES, SQL
+from compare import connect, difference
 
 SCHEMA = "conv_id long, turn long, role string, text string, part int, c string, key string"
 NEXT = {"": "u", "s": "u", "u": "a", "a": "u"}
@@ -134,3 +136,8 @@ def test_speculation_is_put_right(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(audits) == 1
+
+
+def test_query_matches_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    assert difference(QUERIES["op11_conversation_repair"](spark, folder), connect(folder), SQL["op11_conversation_repair"]) is None
