@@ -124,6 +124,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
+        self.tokenizer.encode_special_tokens = True  # not sought where a text has none
         self.cut, self.most, self.known, self.older = cut, most, {"": b""}, {}
         self.sizes = self.ends = None
 
@@ -180,7 +181,11 @@ class Encoder:
 
     def encode(self, text: str | None) -> bytes:
         if text and any(mark in text for mark in self.special):
-            return self._ids(text).tobytes()
+            self.tokenizer.encode_special_tokens = False
+            try:
+                return self._ids(text).tobytes()
+            finally:
+                self.tokenizer.encode_special_tokens = True
         pieces = self.pieces(text or "")
         parts = list(map(self.known.get, pieces))
         if None in parts:
