@@ -63,6 +63,24 @@ def publish_snapshot(table: DataFrame, root: str, partition_by: list[str] | None
     return version
 
 
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Delete all but the last `keep` published versions; returns the numbers deleted.
+
+    A reader that resolved the pointer earlier may still read an older version: `keep` says how many publications it may take."""
+    if keep < 1:
+        raise ValueError("the current version stays")
+    version = current_version(spark, root)
+    if version is None:
+        return []
+    jvm, files = _file_system(spark, root)
+    found = [int(entry.getPath().getName()[2:]) for entry in files.listStatus(jvm.org.apache.hadoop.fs.Path(root))
+             if entry.getPath().getName().startswith("v=")]
+    old = sorted(number for number in found if number <= version - keep)
+    for number in old:
+        files.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/v={number}"), True)
+    return old
+
+
 def write_months(table: DataFrame, root: str) -> None:
     """Write a date table in month folders, replacing the months it holds and no others.
 

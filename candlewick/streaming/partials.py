@@ -3,7 +3,7 @@
 Each micro-batch reduces its rows with a partial aggregate and writes `batch_id=<n>`; a batch that runs again
 after a failure overwrites its own folder, so results are counted once. A reader merges the folders with the same
 aggregate. Nothing is dropped for being late, and no executor holds state between batches. `fold` replaces the
-folders up to a batch by one published snapshot so that reads stay short.
+folders up to a batch by one published snapshot so that reads stay short, `forget` deletes what it covers.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from candlewick.sources.snapshots import publish_snapshot, read_snapshot
+from candlewick.sources.snapshots import drop_old_versions, publish_snapshot, read_snapshot
 
 Reduce = Callable[[DataFrame], DataFrame]
 
@@ -86,6 +86,26 @@ def read(spark: SparkSession, root: str, schema: StructType, merge: Reduce) -> D
     return merge(_rows(spark, root, schema))
 
 
+def forget(spark: SparkSession, root: str) -> list[int]:
+    """Delete the partial folders that the published snapshot covers, once readers of the state before it are done; returns
+    their batch numbers. The figures of `audit` stay, one small row a batch."""
+    folded = read_snapshot(spark, f"{root}/folded")
+    upto = -1 if folded is None else folded.agg(F.max("upto_batch")).first()[0]
+    jvm = spark.sparkContext._jvm
+    gone = []
+    for kind in ("partials", "reduced"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{kind}")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if files.exists(path):
+            for entry in files.listStatus(path):
+                name = entry.getPath().getName()
+                if name.startswith("batch_id=") and int(name[9:]) <= upto:
+                    files.delete(entry.getPath(), True)
+                    gone.append(int(name[9:]))
+    drop_old_versions(spark, f"{root}/folded")
+    return sorted(set(gone))
+
+
 def fold(spark: SparkSession, root: str, schema: StructType, merge: Reduce, upto: int) -> int | None:
     """Publish the merged state of all batches up to `upto`; the partial folders it covers may then be removed.
     Without any row there is nothing to publish."""

@@ -12,7 +12,7 @@ from candlewick.operators import clean, shards, upsert
 from candlewick.operators.indicators import indicator_table
 from candlewick.plans import daily
 from candlewick.schemas import BARS, SYMBOLS
-from candlewick.sources import files, payloads, snapshots
+from candlewick.sources import files, payloads, profile, snapshots
 
 DAY = dt.date(2024, 3, 1)
 
@@ -34,7 +34,7 @@ def test_snapshots(spark, tmp_path):
     assert snapshots.publish_snapshot(second, root) == 2
     assert reader.count() == 1  # a running reader keeps its version
     assert snapshots.read_snapshot(spark, root).count() == 2
-    assert snapshots.copy_table(spark, f"{root}/v=2", str(tmp_path / "copy")) == 2
+    assert profile.copy_table(spark, f"{root}/v=2", str(tmp_path / "copy")) == 2
 
 
 def test_merge_months(spark, tmp_path):
@@ -262,3 +262,16 @@ def test_delivery_touches_only_what_changed(spark, tmp_path):
     store(rows("A", {days[300]}) + rows("C", {days[20]}))
     check()
     assert times(bars_root).items() >= {k: v for k, v in times(bars_root).items() if days[300].strftime("%Y-%m") not in k}.items()
+
+
+def test_old_versions_go(spark, tmp_path):
+    root = str(tmp_path / "table")
+    assert snapshots.drop_old_versions(spark, root) == []
+    for n in range(5):
+        snapshots.publish_snapshot(spark.createDataFrame([bar("A", n, 1.0)], BARS), root)
+    (tmp_path / "table" / "v=6").mkdir()  # a writer is at work
+    before = snapshots.read_snapshot(spark, root)
+    assert snapshots.drop_old_versions(spark, root) == [1, 2, 3] and snapshots.drop_old_versions(spark, root) == []
+    assert before.count() == 1 and closes(snapshots.read_snapshot(spark, root)) == {("A", 4): 1.0}
+    with pytest.raises(ValueError):
+        snapshots.drop_old_versions(spark, root, 0)

@@ -86,6 +86,11 @@ def test_latest_restart_late_rows_and_fold(spark, tmp_path):
     step()
     partials.fold(spark, root, schema, q.latest_quotes, 2)
     assert state() == {**expected, "A": (7.0, 7)}
+    assert partials.forget(spark, root) == [0, 1, 2] and partials.forget(spark, root) == []
+    assert state() == {**expected, "A": (7.0, 7)}
+    feed(spark, source, [message(8, 40, price=8.0)])
+    step()
+    assert state() == {**expected, "A": (8.0, 8)} and partials.forget(spark, root) == []
 
 
 def test_a_repeated_batch_counts_once(spark, tmp_path):
