@@ -200,7 +200,8 @@ def hard_negatives(
 
 
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
     vectors = integer_vectors(table(spark, sf_dir, "embeddings"), label)
     found = hard_negatives(vectors, vectors.where(F.col("vec_id") % 100 == 0))
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

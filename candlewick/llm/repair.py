@@ -23,7 +23,7 @@ text, and equal rows are one row with a count, summed before the shuffle. A task
 
 Defined cases: a null role or text is one space; a null conv_id is a conversation of its own; null turns come first; rows of one
 turn are ordered by role, text (16 and 32 code points of them) and digest; a role without an s, u or a in front (an empty one
-too) can only be changed or deleted; an empty table gives an empty result.
+too) can only be changed or deleted; gaps beyond 64 bits are the greatest long; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -49,6 +49,7 @@ FORCED = {START: USER, SYSTEM: USER, USER: ASSISTANT, ASSISTANT: USER}
 KEPT = {(START, 0): SYSTEM, (START, 1): USER, (SYSTEM, 1): USER, (USER, 2): ASSISTANT, (ASSISTANT, 1): USER}
 LEGAL = {(0, 1), (1, 2), (2, 1)}
 FAR = 1 << 40
+GREATEST = (1 << 63) - 1
 Vector = tuple[int, int, int, int]
 
 
@@ -358,8 +359,10 @@ class Repair:
         """(c, c_null, gaps, blank, duplicate, truncated, illegal, cost, audit) for each conversation with a row."""
         n, blank, later = F.col("n"), F.col("end") == 2, F.col("later")
         turn = F.when(~F.col("t_null"), F.col("t"))
+        wide = lambda c: c.cast("decimal(20,0)")
+        span = wide(F.max(turn)) - wide(F.min(turn)) + 1 - wide(F.count_distinct(turn))
         counts = self.faults.groupBy("c", "c_null").agg(
-            F.coalesce(F.max(turn) - F.min(turn) + 1 - F.count_distinct(turn), F.lit(0)).alias("gaps"),
+            F.coalesce(F.least(span, F.lit(GREATEST)).cast("long"), F.lit(0)).alias("gaps"),
             F.sum(F.when(blank, n).otherwise(0)).alias("blank"),
             F.sum(F.when(blank, 0).when(later, n).otherwise(n - 1)).alias("duplicate"),
             F.sum(F.when(~later & (F.col("end") == 1), 1).otherwise(0)).alias("truncated"))

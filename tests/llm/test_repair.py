@@ -115,6 +115,12 @@ def test_no_conversations(spark):
     assert [tuple(x) for x in row] == [(7, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
 
 
+def test_turns_far_apart(spark):
+    rows = [(1, t, "user", f"At {t}.") for t in (-(1 << 63), 0, (1 << 63) - 1)] + [(2, t, "user", f"At {t}.") for t in (-5, 1 << 62)]
+    found = repair.Repair(spark.createDataFrame([(*x, 1, "c", "k") for x in rows], SCHEMA)).conversations().collect()
+    assert {x.c: x.gaps for x in found} == {1: (1 << 63) - 1, 2: (1 << 62) + 5 + 1 - 2}
+
+
 def test_repaired_rows(spark):
     rows = [(1, 0, "user", "One."), (1, 1, "tool", "Two."), (1, 2, "user", ""), (1, 3, "user", "Three.")]
     turns = spark.createDataFrame([(*x, 1, "c", "k") for x in rows], SCHEMA)
