@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import struct
 import uuid
 from collections.abc import Iterator
 

@@ -399,17 +399,17 @@ def test_pipeline_stages(spark):
     assert {"sequence_id", "offset"} <= set(corpus_pipeline.run(spark, FOLDER).columns)
 
 
-def colliding():
+def colliding(spark):
     """Two texts without repeats whose 32-bit hashes, as Spark takes them, are equal: found among random texts."""
-    spark = __import__("pyspark").sql.SparkSession.getActiveSession()
-    texts = spark.range(400_000).select(F.concat_ws(" ", *[F.substring(F.sha2(F.concat(F.col("id").cast("string"), F.lit(f"/{k}")), 256), 1, 40) for k in range(7)]).alias("text"))
+    word = lambda k: F.substring(F.sha2(F.concat(F.col("id").cast("string"), F.lit(f"/{k}")), 256), 1, 40)
+    texts = spark.range(400_000).select(F.concat_ws(" ", *map(word, range(7))).alias("text"))
     pair = texts.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("same")).where(F.size("same") > 1).first()
     return pair["same"][:2]
 
 
 def test_rows_without_id_are_told_apart(spark):
     """Unlike texts without an id stay unlike, whatever 32-bit hash they have."""
-    first, second = colliding()
+    first, second = colliding(spark)
     docs = spark.createDataFrame([(None, first), (None, second), (1, "other words entirely, not much of them")], "doc_id long, text string")
     assert {x.text for x in simhash.one_of_each(docs).collect()} >= {first, second}
     assert {x.n_removed for x in suffixes.without_repeats(docs).collect()} == {0}
