@@ -158,6 +158,17 @@ def test_batch_sizes(spark, tmp_path):
     assert jobs.batch_sizes(query) == [(0, 7)]
 
 
+def test_console_sink(spark, tmp_path):
+    source = tmp_path / "in"
+    feed(spark, source, [message(i, i) for i in range(3)])
+    query = topics.write_console(q.read_quotes(stream(spark, source)), str(tmp_path / "mark"))
+    try:
+        query.processAllAvailable()
+        assert sum(progress.numInputRows for progress in query.recentProgress) == 3
+    finally:
+        query.stop()
+
+
 def test_expiry(spark):
     state = spark.createDataFrame(
         [(s, START - dt.timedelta(seconds=age)) for s, age in [("A", 0), ("B", 299), ("C", 300), ("D", 301), ("E", -5)]],
