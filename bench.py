@@ -20,11 +20,11 @@ RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 HEADLINE = [
     "bars_from_trades", "last_50_bars", "incremental_new_bars", "bars_upsert",
     "indicator_table", "sma_all", "rsi_batch", "obv", "cci_rowwise", "macd_batch", "ema_recursive", "macd_realtime",
-    "ema_adjusted", "macd_adjusted", "latest_indicators", "registry_table", "x_parabolic_sar", "weekly_bars", "daily_store",
+    "ema_adjusted", "macd_adjusted", "latest_indicators", "registry_table", "x_parabolic_sar", "weekly_bars",
     "bb_upper_touch", "bb_upper_touch_day", "multi_scan", "watchlist_sector_stats", "watchlist_top_symbols",
     "latest_quotes", "market_summary", "quote_signals", "quote_fallback", "tier_routing", "quote_dedup_30s",
     "api_call_sessions", "shard_stats", "call_report", "response_median", "log_event_counts",
-    "catalog_profile", "bars_quarantine", "latest_quotes_stream", "quote_fallback_stream",
+    "catalog_profile", "bars_quarantine", "latest_quotes_stream",
 ]
 
 
