@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from candlewick.operators import clean, shards, upsert
 from candlewick.operators.indicators import indicator_table
 from candlewick.plans import daily
 from candlewick.schemas import BARS, SYMBOLS
+from candlewick.session import shared_dir
 from candlewick.sources import files, payloads, profile, snapshots
 
 DAY = dt.date(2024, 3, 1)
@@ -264,6 +266,17 @@ def test_delivery_touches_only_what_changed(spark, tmp_path):
     assert times(bars_root).items() >= {k: v for k, v in times(bars_root).items() if days[300].strftime("%Y-%m") not in k}.items()
 
 
+def test_a_delivery_leaves_only_the_tables(spark, tmp_path):
+    work = Path(shared_dir(spark).removeprefix("file:"))
+    left = lambda: {p for name in ("written", "staged") for p in (work / name).glob("*")}
+    before = left()
+    for day in (0, 1, 1):
+        daily.store_delivery(
+            spark.createDataFrame([bar("A", day, 1.0), bar("B", day, 2.0)], BARS), str(tmp_path / "bars"), str(tmp_path / "indicators"))
+    assert left() == before
+    assert spark.read.parquet(str(tmp_path / "bars")).count() == spark.read.parquet(str(tmp_path / "indicators")).count() == 4
+
+
 def test_old_versions_go(spark, tmp_path):
     root = str(tmp_path / "table")
     assert snapshots.drop_old_versions(spark, root) == []
