@@ -294,6 +294,24 @@ def test_fallback_stream_does_not_see_the_future(spark, tmp_path):
     assert step() == sorted([*first, (5, 14.0, "kis_via_yfinance"), (6, 9.0, "kis_via_yfinance"), (7, 13.0, "kis_via_yfinance")])
 
 
+def test_fallback_stream_of_symbols_without_a_quote(spark, tmp_path):
+    asked, told, root, mark = tmp_path / "asked", tmp_path / "told", str(tmp_path / "out"), str(tmp_path / "mark")
+    deliver(responses(spark, [("A", "", 50, 1), ("B", "", 50, 2), ("B", "5", 60, 3)]), asked)
+    kinds, schema = quotes_at(spark, []).schema, responses(spark, []).schema
+    told.mkdir()
+
+    def step():
+        run(lambda: jobs.fallback_job(
+            topics.read_folder(spark, str(asked), schema), topics.read_folder(spark, str(told), kinds), "t", root, mark, None))
+        return sorted((r["offset"], r["price"]) for r in spark.read.parquet(root).collect())
+
+    assert step() == [(3, 5.0)]
+    # Quotes without an offset, then a request of a symbol that has one now.
+    deliver(quotes_at(spark, [("A", 11.0, 70, None), ("A", 12.0, 70, 1)]), told)
+    deliver(responses(spark, [("A", "", 80, 4), ("C", "", 80, 5)]), asked)
+    assert step() == [(3, 5.0), (4, 12.0)]
+
+
 def closes(spark, level, symbols=("A", "B")):
     days = [(s, dt.date(2024, 1, 1) + dt.timedelta(days=i), level + i % 3) for s in symbols for i in range(30)]
     return spark.createDataFrame(days, "symbol string, date date, close double")
