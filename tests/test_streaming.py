@@ -312,6 +312,42 @@ def test_fallback_stream_of_symbols_without_a_quote(spark, tmp_path):
     assert step() == [(3, 5.0), (4, 12.0)]
 
 
+def test_a_delivery_is_one_batch_however_many_files_it_has(spark, tmp_path):
+    from candlewick.plans import queries_quotes
+
+    rows = [(n, START + dt.timedelta(days=d, seconds=1000 * n), n % 3, "view" if n % 2 else "purchase", 50.0, "") for d in (0, 12, 24)
+            for n in range(60)]
+    frame = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    frame.repartition(12).write.parquet(str(tmp_path / "events.parquet"))
+    stream, arrivals = queries_quotes.delivered(spark, str(tmp_path))
+    sizes, most = [], []
+
+    def start(root, mark):
+        query = jobs.latest_state_job(queries_quotes.trades.quote_messages(stream), root, mark, 86400, None)
+        query.awaitTermination()
+        sizes.append([p.numInputRows for p in query.recentProgress if p.numInputRows])
+        return query
+
+    queries_quotes.finished(spark, start, arrivals)
+    assert sizes == [[60], [60], [60]]
+
+
+def test_the_earliest_of_a_batch_passes_the_bucket_filter(spark, tmp_path):
+    source, root, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
+
+    def step(*rows):
+        # Later rows first, in files that tasks of their own read.
+        for row in sorted(rows, key=lambda r: -r[2]):
+            feed(spark, source, [row])
+        run(lambda: state.start(jobs.distinct_buckets(q.read_quotes(stream(spark, source))), root, mark, None))
+        return sorted((r["symbol"], r["bucket"].minute * 60 + r["bucket"].second, r["offset"]) for r in spark.read.parquet(root).collect())
+
+    first = [("A", 0, 1), ("A", 30, 5), ("B", 0, 4)]
+    assert step(message(1, 1), message(2, 2), message(3, 20), message(4, 12, "B"), message(6, 33), message(5, 31)) == first
+    # After a restart the buckets that may still get rows are known; those of other times pass.
+    assert step(message(7, 0), message(8, 0, "C"), message(9, 60)) == sorted([*first, ("A", 60, 9), ("C", 0, 8)])
+
+
 def closes(spark, level, symbols=("A", "B")):
     days = [(s, dt.date(2024, 1, 1) + dt.timedelta(days=i), level + i % 3) for s in symbols for i in range(30)]
     return spark.createDataFrame(days, "symbol string, date date, close double")
