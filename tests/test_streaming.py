@@ -390,3 +390,33 @@ def test_audit_counts_each_batch_once(spark, tmp_path):
     run(start)
     assert figures() == [(2, 0, 7), (1, 3, 3)]
     assert partials.audit(spark, str(tmp_path / "nowhere")).count() == 0
+
+
+def test_a_shard_keeps_its_symbols_apart(spark, tmp_path, monkeypatch):
+    """All symbols of one shard: each is renewed and expires at its own time, with one timer for all; buckets likewise."""
+    monkeypatch.setattr(state, "SHARDS", 1)
+    source, root, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
+    kinds = q.read_quotes(quotes_at(spark, [("A", 1.0, 0, 1)])).schema
+
+    def step(*rows):
+        deliver(quotes_at(spark, rows), source)
+        run(lambda: jobs.latest_state_job(folder_stream(spark, source, quotes_at(spark, [])), root, mark, 300, None))
+        return {r["symbol"]: r["offset"] for r in state.newest_state(spark, mark, kinds).collect()}
+
+    names = [f"S{n}" for n in range(40)]
+    assert step(*[(name, 1.0, n, n) for n, name in enumerate(names)]) == {name: n for n, name in enumerate(names)}
+    # The first ten are renewed; of the others those up to 20 seconds expire.
+    held = step(*[(name, 2.0, 320, 100 + n) for n, name in enumerate(names[:10])])
+    assert held == {name: 100 + n if n < 10 else n for n, name in enumerate(names) if n < 10 or n >= 20}
+    log = spark.read.parquet(root).where("not live").select("symbol", "offset").collect()
+    assert sorted(map(tuple, log)) == [(f"S{n}", n) for n in range(10, 20)]
+
+
+def test_calls_of_the_keyed_state_do_not_grow_with_its_symbols(spark, tmp_path):
+    """One group for each shard, so more symbols do not mean more calls and timers."""
+    rows = [(f"S{n}", 1.0, n % 7, n) for n in range(4 * state.SHARDS)]
+    source, root, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
+    deliver(quotes_at(spark, rows), source)
+    query = run(lambda: jobs.latest_state_job(folder_stream(spark, source, quotes_at(spark, [])), root, mark, 300, None))
+    timers = sum(p.stateOperators[0].customMetrics["numRegisteredTimers"] for p in query.recentProgress if p.numInputRows)
+    assert 0 < timers <= state.SHARDS
