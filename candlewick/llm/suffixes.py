@@ -149,21 +149,23 @@ def contexts(docs: DataFrame, members: DataFrame) -> DataFrame:
     anchor), windows, data."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in in_rows(batches, ["doc_id", "t", "packed", "at"]):
+        for batch in in_rows(batches, ["doc_id", "t", "packed", "place", "gram", "large"]):
             rows = []
-            for doc_id, t, packed, at in zip(batch["doc_id"], batch["t"], batch["packed"], batch["at"]):
+            for doc_id, t, packed, places, grams, large in zip(*(batch[name] for name in batch.columns)):
                 data = unpacked(packed)
-                for member in sorted(at, key=lambda m: m["place"]):
-                    place = member["place"]
+                for i in np.argsort(places, kind="stable"):
+                    place = int(places[i])
                     anchor, least, greatest = place >> 16, place >> 8 & 255, place & 255
                     start = anchor - greatest
-                    rows.append((member["gram"], member["large"], doc_id, t, start, greatest, greatest - least + 1,
+                    rows.append((grams[i], large[i], doc_id, t, start, greatest, greatest - least + 1,
                                  data[start : anchor - least + WINDOW]))
             out = pd.DataFrame(rows, columns=["gram", "large", "doc_id", "t", "start", "greatest", "windows", "data"])
             yield out.assign(doc_id=out["doc_id"].astype("Int64"))
 
     listed = members.groupBy("doc_id", "t").agg(F.collect_list(F.struct("place", "gram", "large")).alias("at"))
-    return _with_texts(docs.select("doc_id", "text"), listed, "inner").mapInPandas(
+    # Three arrays a text: as a list of structs each member would be a dict in Python, for all texts of an Arrow batch.
+    beside = _with_texts(docs.select("doc_id", "text"), listed, "inner").select("doc_id", "t", "packed", "at.place", "at.gram", "at.large")
+    return beside.mapInPandas(
         run, "gram long, large boolean, doc_id long, t binary, start long, greatest int, windows int, data binary")
 
 
@@ -201,7 +203,7 @@ def refined_in_tasks(rows: DataFrame) -> DataFrame:
             return _spans(rows, times[index] > 1)
 
         held, size = [], 0
-        for batch in in_rows(batches, ["gram", "doc_id", "t", "start", "windows", "data"], 4096):
+        for batch in in_rows(batches, ["gram", "doc_id", "t", "start", "windows", "data"], 1024):
             if size > TASK_BYTES:  # go on only with the bucket that may not be complete
                 rows = pd.concat([*held, batch], ignore_index=True)
                 open_ = rows["gram"] == rows["gram"].iloc[-1]
@@ -223,7 +225,7 @@ def window_groups(rows: DataFrame, size: int) -> DataFrame:
     that all windows of a whole group share (`core`) and of all bytes of those there are (`whole`)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in in_rows(batches, ["doc_id", "t", "start", "greatest", "windows", "data"], 512):
+        for batch in in_rows(batches, ["doc_id", "t", "start", "greatest", "windows", "data"], 128):
             greatest, windows = batch["greatest"].to_numpy(np.int64), batch["windows"].to_numpy(np.int64)
             least = greatest - windows + 1
             number = greatest // size - least // size + 1

@@ -438,3 +438,13 @@ def test_special_strings_are_the_tokenizers(name, cut):
     texts = [x for m in marks for x in (m, f"a{m}b", f" {m} ", f"words {m}\n{m}{m} more", f"<|endof {m[1:]}", f"{m[:-1]}", f"É{m}é", "w " * 3000 + m)]
     for text in ["no marks here", *texts, "again without", ""]:
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_members_reach_python_as_arrays(spark):
+    """A list of structs would be a dict for each member, for all texts of an Arrow batch at once."""
+    from candlewick.llm import suffixes
+
+    docs = spark.createDataFrame([(1, "x" * 400)], "doc_id long, text string")
+    members = spark.createDataFrame([], "gram long, doc_id long, t binary, place long, large boolean")
+    plan = suffixes.contexts(docs, members)._jdf.queryExecution().analyzed()
+    assert plan.children().apply(0).schema().simpleString().count("struct<") == 1
