@@ -23,11 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
-    """`frame` written to the shared folder and read again: computed once, and safe if an executor is lost."""
+def stored(frame: DataFrame, label: str, **options: str) -> DataFrame:
+    """`frame` written to the shared folder and read again: computed once, and safe if an executor is lost. `options` are
+    the Parquet writer's."""
     spark = frame.sparkSession
     path = f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     back = spark.read.schema(frame.schema).parquet(path)
     back.stored_at = path
     return back

@@ -46,6 +46,8 @@ FILTER_BYTES = 256 << 20  # of a filter that is broadcast
 PART_BYTES = 8 << 20
 HEAD_WORDS = 500_000
 FLUSH = 1_000_000
+#: How rows with cells of some MB are written: one to a row group, so that neither writer nor reader holds several.
+LARGE_CELLS = {"parquet.block.row.count.limit": "1", "parquet.enable.dictionary": "false"}
 _words = WordHashes(SEED, 200_000)
 
 _LOW = np.maximum.accumulate(np.floor(BASE ** np.arange(LEVELS))).astype(float)  # least count of each level
@@ -154,6 +156,12 @@ def segment_parts(sums: DataFrame, order: int, segments: int) -> DataFrame:
              "entries binary, levels binary, n_entries long")
 
 
+def in_fewer(frame: DataFrame, partitions: int, each_core: int) -> DataFrame:
+    """`frame` in `partitions`, or `each_core` a core if that is more: a task takes several old partitions one after the
+    other and holds no more than before. Each file costs an executor processes and buffers, however little is in it."""
+    return frame.coalesce(max(partitions, each_core * frame.sparkSession.sparkContext.defaultParallelism))
+
+
 def filter_part(keys: np.ndarray, levels: np.ndarray, words: int, probes: int) -> np.ndarray:
     part = np.zeros(words, np.uint64)
     for level in range(1, int(levels.max(initial=0)) + 1):
@@ -230,7 +238,8 @@ def train(docs: DataFrame, order: int = ORDER, segments: int | None = None, most
     """The model, and the stored counts (key, c) of all words too rare for its head."""
     spark = docs.sparkSession
     segments = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = stored(segment_parts(gram_counts(docs, order, segments), order, segments), "lm-parts")
+    counted = segment_parts(gram_counts(docs, order, segments), order, segments)
+    parts = stored(in_fewer(counted, segments // 8, 4), "lm-parts", **LARGE_CELLS)
     # One row per segment, as many as there are partitions.
     known = parts.select("segment", "by_level", "n_words", "distinct", "n_entries").toPandas()
     # All parts get the size that the largest needs; a hash deals the entries out evenly.
@@ -259,8 +268,9 @@ def train(docs: DataFrame, order: int = ORDER, segments: int | None = None, most
                         "head": [words[common].tobytes()], "head_counts": [counts[common].tobytes()]})
                     common = np.zeros(len(words), bool)  # a segment's words stand with its first part
 
-    built = stored(parts.select("segment", "entries", "levels", "words", "word_counts").mapInPandas(
-        build, "part int, data binary, head binary, head_counts binary"), "lm-filter")
+    filters = parts.select("segment", "entries", "levels", "words", "word_counts").mapInPandas(
+        build, "part int, data binary, head binary, head_counts binary")
+    built = stored(in_fewer(filters, segments * split * size * 8 // PART_BYTES, 2), "lm-filter", **LARGE_CELLS)
     parts_of = built.select("part", F.length("head").alias("n_head")).toPandas()
     heads = np.zeros(segments * split, np.int64)
     heads[parts_of["part"].to_numpy(int)] = np.cumsum([0, *parts_of["n_head"]])[:-1] // 8
@@ -410,17 +420,24 @@ def scored(docs: DataFrame, model: Model, rare: DataFrame) -> DataFrame:
         texts = asked.where("part < 0").select("bundle", F.lit(1).alias("kind"), "part", "data", *about)
         found = answers.union(texts).repartition("bundle").sortWithinPartitions("bundle", "kind").mapInPandas(
             run_bundles, columns)
-    first = stored(found.withColumn("row", F.monotonically_increasing_id()), "lm-first")
-    other = first.select("row", F.explode(F.arrays_zip("other", "times")).alias("o")).select(
-        "row", F.col("o.other").alias("key"), F.col("o.times").alias("times"))
+    # One row for each word below the head, the first of them with the text's own columns. A text without any gets a key of
+    # its own that it asks for 0 times: null keys would all meet in one task.
+    row, own = F.monotonically_increasing_id(), ("doc_id", "n_tokens", "head_known", "head_score", "score")
+    asks = F.when(F.size("other") > 0, F.arrays_zip("other", "times")).otherwise(
+        F.array(F.struct(F.xxhash64("row").alias("other"), F.lit(0).cast("long").alias("times"))))
+    asked_of = found.withColumn("row", row).select("row", *own, F.posexplode(asks).alias("at", "o")).select(
+        "row", *(F.when(F.col("at") == 0, F.col(name)).alias(name) for name in own),
+        F.col("o.other").alias("key"), F.col("o.times").alias("times"))
     c = F.coalesce("c", F.lit(0))
-    below = other.join(rare, "key", "left").groupBy("row").agg(
+    # Hashed, not sorted: a partition's rare words are few, and sorts take whole pages of memory for the smallest partition.
+    summed = asked_of.join(rare.hint("shuffle_hash"), "key", "left").groupBy("row").agg(
+        *(F.max(name).alias(name) for name in own),
         F.sum(F.col("times") * F.log10((c + 0.5) / F.lit(total))).alias("below"),
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("below_known"))
-    return first.drop("other", "times").join(below, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("head_known") + F.coalesce("below_known", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("head_score") + F.coalesce("below", F.lit(0.0))).alias("base_score"), "score")
+    result = summed.select(
+        "doc_id", "n_tokens", (F.col("head_known") + F.col("below_known")).alias("n_known"),
+        F.lit(model.tokens).cast("long").alias("train_tokens"), (F.col("head_score") + F.col("below")).alias("base_score"), "score")
+    return in_fewer(result, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8, 2)
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

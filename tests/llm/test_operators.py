@@ -3,13 +3,16 @@
 import hashlib
 import os
 import re
+import uuid
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from pyarrow.parquet import ParquetFile
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -17,6 +20,7 @@ from candlewick.llm import (
     chunking, common, fingerprints, mixing, neighbours, packing, quality, scoring, simhash, suffixes, tokenfile,
 )
 from candlewick.llm.queries import QUERIES, SQL
+from candlewick.session import shared_dir
 from compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
@@ -386,6 +390,27 @@ def test_scores_do_not_depend_on_what_is_broadcast(docs, part_bytes):
     assert scores(100) == scores(scoring.FILTER_BYTES)
 
 
+def test_scoring_writes_few_files_and_no_table_of_texts(spark, docs, monkeypatch):
+    """Every file that an executor writes costs it memory, so partitions without much in them share one."""
+    stored, mark, segments = common.stored, uuid.uuid4().hex, 32 * spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(scoring, "stored", lambda frame, label, **options: stored(frame, f"{mark}-{label}", **options))
+    settings = {"spark.sql.shuffle.partitions": str(segments), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        out = scoring.scored(docs, *scoring.train(docs))
+        assert out.rdd.getNumPartitions() <= segments // 8 and out.count() == docs.count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    tables = list(Path(shared_dir(spark), "llm").glob(f"{mark}-*"))
+    assert sorted(x.name.rsplit("-", 1)[0] for x in tables) == [f"{mark}-lm-filter", f"{mark}-lm-parts"]
+    for folder in tables:
+        files = [ParquetFile(x).metadata for x in folder.glob("*.parquet")]
+        assert len(files) <= segments // 8 and all(x.num_row_groups == x.num_rows for x in files)
+
+
 def test_mixing_query_matches_sql(spark):
     assert difference(QUERIES["op1_mix_sources"](spark, FOLDER), connect(FOLDER), SQL["op1_mix_sources"]) is None
 
