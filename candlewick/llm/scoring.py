@@ -6,7 +6,7 @@ entry has `BITS_PER_ENTRY` bits and `PROBES` probes at any size of corpus; parts
 the entries. All bits of an entry stand in one 64-bit word: a probe is one read.
 
 Scoring: an n-gram's level is found by probing levels 1, 2, ... until one is absent. A filter of at most `FILTER_BYTES` is
-broadcast. A larger one stays where it is stored: the distinct keys of some texts go to the parts that hold them, and the
+sent to all workers, as a file that those of an executor map and share. A larger one stays where it is stored: the distinct keys of some texts go to the parts that hold them, and the
 levels come back to the texts. Both ways read the same parts and give the same scores. Probabilities are interpolated:
 
     p(w | h) = (c(hw) + k p(w | shorter h)) / (c(h) + k),   p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))
@@ -22,13 +22,16 @@ repeated ids are scored row by row; a null id is held out or not as the empty te
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark import TaskContext
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlewick.llm.common import (
@@ -49,6 +52,7 @@ FLUSH = 1_000_000
 #: How rows with cells of some MB are written: one to a row group, so that neither writer nor reader holds several.
 LARGE_CELLS = {"parquet.block.row.count.limit": "1", "parquet.enable.dictionary": "false"}
 _words = WordHashes(SEED, 200_000)
+_sent: list[tempfile.TemporaryDirectory] = []  # executors that start later fetch the files as well
 
 _LOW = np.maximum.accumulate(np.floor(BASE ** np.arange(LEVELS))).astype(float)  # least count of each level
 
@@ -191,7 +195,8 @@ def levels_in(data: np.ndarray, keys: np.ndarray, part: np.ndarray) -> np.ndarra
 class Model:
     order: int
     segments: int  # parts of the filter
-    data: np.ndarray | None  # a row of 64-bit words for each part, or None if the filter is not broadcast
+    data: np.ndarray | None  # a row of 64-bit words for each part, or None if the filter is not sent
+    sent_as: str | None  # the file that has `data`, which itself is never sent
     stored_at: str  # folder of the filter's parts
     tokens: int
     words: int
@@ -199,6 +204,14 @@ class Model:
     head: np.ndarray
     head_counts: np.ndarray
 
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "data": self.data.shape if self.data is not None else None}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        if self.data is not None:
+            self.data = np.asarray(np.memmap(SparkFiles.get(self.sent_as), np.uint64, "r", shape=self.data))
+
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Quantised counts of `keys`."""
         if not self.segments:
@@ -274,7 +287,12 @@ def train(docs: DataFrame, order: int = ORDER, segments: int | None = None, most
     parts_of = built.select("part", F.length("head").alias("n_head")).toPandas()
     heads = np.zeros(segments * split, np.int64)
     heads[parts_of["part"].to_numpy(int)] = np.cumsum([0, *parts_of["n_head"]])[:-1] // 8
-    data = np.zeros((segments * split, size), np.uint64) if whole else None
+    data, sent_as = None, None
+    if whole:
+        _sent.append(tempfile.TemporaryDirectory(prefix="candlewick-"))
+        sent_as = f"lm-filter-{uuid.uuid4().hex}"
+        path = os.path.join(os.path.realpath(_sent[-1].name), sent_as)
+        data = np.memmap(path, np.uint64, "w+", shape=(segments * split, size))
     head, head_counts = (np.zeros(int(parts_of["n_head"].sum()) // 8, kind) for kind in ("<u8", "<i8"))
     # A filter of at most `most_bytes`, and at most `head_words` words, fetched a part at a time.
     for row in built.select("part", *["data"] * whole, "head", "head_counts").toLocalIterator():
@@ -283,11 +301,14 @@ def train(docs: DataFrame, order: int = ORDER, segments: int | None = None, most
         word = heads[row.part]
         head[word : word + len(row.head) // 8] = np.frombuffer(row.head, "<u8")
         head_counts[word : word + len(row.head) // 8] = np.frombuffer(row.head_counts, "<i8")
+    if whole:
+        data.flush()
+        spark.sparkContext.addFile(path)
     rank = np.argsort(head)
     tokens = int(known["n_words"].sum())
     follow = [float(np.log(max(d, 2)) / np.log(max(tokens, d, 2))) for d in distinct]
     model = Model(
-        order, segments * split if len(parts_of) else 0, data, built.stored_at,
+        order, segments * split if len(parts_of) else 0, data, sent_as, built.stored_at,
         tokens, int(by_level.sum()), follow, head[rank], head_counts[rank],
     )
 
@@ -429,8 +450,7 @@ def scored(docs: DataFrame, model: Model, rare: DataFrame) -> DataFrame:
         "row", *(F.when(F.col("at") == 0, F.col(name)).alias(name) for name in own),
         F.col("o.other").alias("key"), F.col("o.times").alias("times"))
     c = F.coalesce("c", F.lit(0))
-    # Hashed, not sorted: a partition's rare words are few, and sorts take whole pages of memory for the smallest partition.
-    summed = asked_of.join(rare.hint("shuffle_hash"), "key", "left").groupBy("row").agg(
+    summed = asked_of.join(rare, "key", "left").groupBy("row").agg(
         *(F.max(name).alias(name) for name in own),
         F.sum(F.col("times") * F.log10((c + 0.5) / F.lit(total))).alias("below"),
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("below_known"))

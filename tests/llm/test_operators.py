@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import pickle
 import re
 import uuid
 import zlib
@@ -411,6 +412,15 @@ def test_scoring_writes_few_files_and_no_table_of_texts(spark, docs, monkeypatch
         assert len(files) <= segments // 8 and all(x.num_row_groups == x.num_rows for x in files)
 
 
+def test_filter_is_mapped_not_copied(docs):
+    """The workers of an executor share the filter's file; a broadcast would be a copy for each, and one in the JVM."""
+    model, _ = scoring.train(docs)
+    packed = pickle.dumps(model)
+    assert model.data.any() and model.data.tobytes() not in packed
+    copy = pickle.loads(packed)
+    assert isinstance(copy.data.base, np.memmap) and (copy.data == model.data).all()
+
+
 def test_mixing_query_matches_sql(spark):
     assert difference(QUERIES["op1_mix_sources"](spark, FOLDER), connect(FOLDER), SQL["op1_mix_sources"]) is None
 
