@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 from pathlib import Path
 
 import numpy as np
@@ -13,7 +14,7 @@ from candlewick.operators import clean, shards, upsert
 from candlewick.operators.indicators import indicator_table
 from candlewick.plans import daily
 from candlewick.schemas import BARS, SYMBOLS
-from candlewick.session import shared_dir
+from candlewick.session import freed_shuffles, shared_dir
 from candlewick.sources import files, payloads, profile, snapshots
 
 DAY = dt.date(2024, 3, 1)
@@ -277,6 +278,63 @@ def test_a_delivery_leaves_only_the_tables(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "bars")).count() == spark.read.parquet(str(tmp_path / "indicators")).count() == 4
 
 
+def test_a_large_store_is_kept_in_parts(spark, tmp_path, monkeypatch):
+    """A part is worked out and swapped at a time; the rows are those of the whole table, whatever later deliveries hold."""
+    monkeypatch.setattr(daily, "PART_ROWS", 50)
+    roots, kinds = [str(tmp_path / "bars"), str(tmp_path / "indicators")], indicator_table(spark.createDataFrame([], BARS)).schema
+    placed, held, swapped = StructType([*BARS.fields, StructField("line", LongType())]), {}, []
+    write = lambda table, root: (swapped.append(root), snapshots.write_months(table, root))
+    monkeypatch.setattr(daily, "write_months", write)
+
+    def store(rows):
+        held.update({row[:2]: row for row in rows})
+        # Each row comes twice, first with a wrong close.
+        lines = [(*row[:5], row[5] + 9, row[6], 2 * n) for n, row in enumerate(rows)] + [(*row, 2 * n + 1) for n, row in enumerate(rows)]
+        daily.store_delivery(spark.createDataFrame(lines, placed).repartition(3), *roots, "line")
+        bars = snapshots.read_months(spark, roots[0], BARS).drop("month")
+        assert {tuple(r[:2]): tuple(r) for r in bars.collect()} == held and bars.count() == len(held)
+        want = {tuple(r[:2]): r for r in indicator_table(spark.createDataFrame(list(held.values()), BARS)).collect()}
+        table = snapshots.read_months(spark, roots[1], kinds)
+        assert table.columns == [*kinds.names, "month"] and table.count() == len(held)
+        for row in table.collect():
+            assert row["month"] == row["date"].strftime("%Y-%m")
+            for found, value in zip(row[2:-1], want[tuple(row[:2])][2:], strict=True):
+                assert found == (value if value is None else pytest.approx(value, rel=1e-9, abs=1e-9)), row
+        for root in roots:  # a symbol lies in one part
+            where = spark.read.parquet(f"{root}/parts=2").groupBy("symbol").agg(F.countDistinct("part").alias("n"))
+            assert where.where("n > 1").count() == 0
+
+    store([bar(f"S{i}", d, 50.0 + (7 * i + d * d) % 23, 5 + d) for i in range(9) for d in range(5)])
+    assert {snapshots.stored_parts(spark, root) for root in roots} == {2} and len(swapped) == len(set(swapped)) > 1
+    # Later deliveries keep the parts: an old day corrected, a day that was missing, a new symbol.
+    monkeypatch.setattr(daily, "PART_ROWS", 1)
+    store([bar("S3", 2, 70.0), bar("S4", 40, 71.0), bar("new", 1, 72.0)])
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    store([bar("S3", 2, 70.0), bar("new", 1, 72.0)])
+    assert {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")} == before
+    # Tables laid out differently are not mixed.
+    with pytest.raises(ValueError):
+        snapshots.write_months(spark.createDataFrame([bar("A", 0, 1.0)], BARS), str(tmp_path / "other"))
+        daily.store_delivery(spark.createDataFrame([bar("A", 0, 1.0)], BARS), str(tmp_path / "other"), roots[1])
+
+
+def test_a_delivery_leaves_no_shuffle_files(spark, tmp_path):
+    dirs = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {str(p) for at in dirs for p in Path(at).rglob("shuffle_*")}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(name, None), files()
+    daily.store_delivery(
+        spark.createDataFrame([bar(f"S{i}", d, 1.0 + d) for i in range(9) for d in range(9)], BARS).repartition(3), str(tmp_path / "bars"),
+        str(tmp_path / "indicators"))
+    deadline = time.time() + 20  # files go a moment after their query
+    while files() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(name, None) == setting
+    with pytest.raises(KeyError), freed_shuffles(spark):
+        raise KeyError
+    assert spark.conf.get(name, None) == setting
+
+
 def test_old_versions_go(spark, tmp_path):
     root = str(tmp_path / "table")
     assert snapshots.drop_old_versions(spark, root) == []
